@@ -1,0 +1 @@
+"""No operators: every source this library covers is bounded, so nothing here keeps stream state."""
