@@ -18,7 +18,7 @@ def pair_wins(df: DataFrame, keys: Sequence[str], score: str, positive: str) ->
     """
     p = F.col(positive).cast("boolean")
     counts = df.groupBy(*keys, score).agg(F.count_if(p).alias("__p"), F.count_if(~p).alias("__n"))
-    ranked = running_totals(counts, keys, [score], {"__upto": F.col("__n")})
+    ranked = running_totals(counts, keys, [score], {"__upto": F.col("__n")}, staged=True)
     grouped = ranked.groupBy(*keys) if keys else ranked.groupBy()
     return grouped.agg(
         F.sum(F.col("__p") * (F.col("__upto") - F.col("__n"))).alias("correct"),

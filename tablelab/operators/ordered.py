@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import stage
+
 SLICE = "__slice"
 
 
@@ -111,11 +113,16 @@ def running_totals(
     sums: dict[str, Column],
     slices: int | None = None,
     cuts: dict[str, list[float]] | None = None,
+    staged: bool = False,
 ) -> DataFrame:
     """Inclusive running sum of each expression in ``sums``, per key, in the given order.
 
     Rows of one key must differ in the order columns, else the order among equals is arbitrary.
+    The input is read three times (cut points, slice totals, rows). ``staged=True`` writes it to the
+    shared folder first, which pays off whenever it is more than a scan.
     """
+    if staged:
+        df = stage(df, "running")
     sliced = with_slices(df, order, slices, cuts)
     part = [*keys, SLICE]
     names = list(sums)
@@ -145,15 +152,16 @@ def row_positions(
     out: str = "pos",
     slices: int | None = None,
     cuts: dict[str, list[float]] | None = None,
+    staged: bool = False,
 ) -> DataFrame:
     """1-based row number per key; ``keys=[]`` numbers the whole table without a single-task sort."""
-    return running_totals(df, keys, order, {out: F.lit(1).cast("long")}, slices, cuts)
+    return running_totals(df, keys, order, {out: F.lit(1).cast("long")}, slices, cuts, staged)
 
 
 def previous_values(
     df: DataFrame, keys: Sequence[str], position: str, values: dict[str, str]
 ) -> DataFrame:
-    """Values of the row before, found by its position number; NULL on the first row."""
+    """Columns of the row before under new names, found by its position number; NULL on the first row."""
     prior = df.select(
         *keys, (F.col(position) + 1).alias(position), *[F.col(c).alias(n) for n, c in values.items()]
     )

@@ -84,7 +84,7 @@ def negative_items(positives: DataFrame, items: DataFrame, seed: int = 17) -> Da
     numbered = row_positions(items.select("item").distinct(), [], ["item"], "idx").withColumn("idx", F.col("idx") - 1)
     numbered = stage(numbered, "items")
     m = numbered.count()
-    pos = positives.select("user", "item").distinct().join(numbered, "item")
+    pos = stage(positives.select("user", "item").distinct().join(numbered, "item"), "positives")
     ranked = row_positions(pos, ["user"], ["idx"], "rank")
     sizes = pos.groupBy("user").agg(F.count("*").alias("p"))
     gaps = ranked.select("user", (F.col("idx") - F.col("rank") + 1).alias("at"), F.lit(0).alias("draw"))
@@ -96,7 +96,7 @@ def negative_items(positives: DataFrame, items: DataFrame, seed: int = 17) -> Da
     )
     # Equal (user, at) rows merge into counts, so running totals see distinct rows, positives first.
     both = gaps.union(drawn).groupBy("user", "at", "draw").agg(F.count("*").alias("k"))
-    counted = running_totals(both, ["user"], ["at", "draw"], {"below": F.when(F.col("draw") == 0, F.col("k")).otherwise(0)})
+    counted = running_totals(both, ["user"], ["at", "draw"], {"below": F.when(F.col("draw") == 0, F.col("k")).otherwise(0)}, staged=True)
     hits = counted.filter("draw = 1").select("user", (F.col("at") + F.col("below")).alias("idx"), "k")
     return hits.join(numbered, "idx").select("user", "item", F.explode(F.sequence(F.lit(1), F.col("k"))).alias("copy")).drop("copy")
 

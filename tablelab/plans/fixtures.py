@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ordered import previous_values, row_positions
+from ..session import stage
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -111,7 +112,8 @@ def numbered_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"), F.to_date("o_orderdate").alias("day")
     )
     numbered = row_positions(o, ["user_id"], ["day", "order_id"], "order_number")
-    gaps = previous_values(numbered, ["user_id"], "order_number", {"day": "before"})
+    numbered = stage(numbered, "orders")
+    gaps = previous_values(numbered, ["user_id"], "order_number", {"before": "day"})
     last = o.groupBy("user_id").agg(F.count("*").alias("last_number"))
     held = F.when(F.col("user_id") % 3 != 0, "train").otherwise("test")
     return gaps.join(last, "user_id").select(

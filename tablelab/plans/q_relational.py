@@ -69,14 +69,14 @@ def trips_by_month(spark, sf):
 # --- projections, filters --------------------------------------------------------------------------
 
 
-@register("""SELECT o_orderkey AS order_id, o_custkey AS user_id, CAST(o_totalprice AS BIGINT) AS whole_price,
+@register("""SELECT o_orderkey AS order_id, o_custkey AS user_id, CAST(floor(o_totalprice) AS BIGINT) AS whole_price,
   CAST(CAST(o_totalprice AS DECIMAL(24, 4)) AS VARCHAR) AS precise, o_totalprice / 1000 AS thousands FROM orders""")
 def project_rename_cast(spark, sf):
     o = load(spark, sf, "orders").withColumnsRenamed({"o_orderkey": "order_id", "o_custkey": "user_id"})
     return o.select(
         "order_id",
         "user_id",
-        F.round("o_totalprice").cast("bigint").alias("whole_price"),
+        F.floor("o_totalprice").cast("bigint").alias("whole_price"),
         F.col("o_totalprice").cast("decimal(24,4)").cast("string").alias("precise"),
         (F.col("o_totalprice") / 1000).alias("thousands"),
     )
