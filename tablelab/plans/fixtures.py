@@ -16,6 +16,14 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents spread over all task slots when they come in fewer files than there are slots;
+    with enough files (any large table) no shuffle is added."""
+    d = load(spark, sf_dir, "documents")
+    slots = spark.sparkContext.defaultParallelism
+    return d.repartition(slots) if len(d.inputFiles()) < slots else d
+
+
 # --- trips -----------------------------------------------------------------------------------------
 
 
@@ -183,7 +191,7 @@ recency AS (SELECT user_id, product_id, count(*) AS prior_prod_cnt, min(orders_a
 
 
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d, l = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
+    d, l = texts(spark, sf_dir), load(spark, sf_dir, "labels")
     return d.join(l, "doc_id", "left").select(
         F.col("doc_id").alias("id"),
         F.col("text").alias("comment_text"),
