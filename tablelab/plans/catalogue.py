@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["q_relational", "q_basket", "q_recommend", "q_text", "q_space", "q_models"]
+MODULES = ["q_relational", "q_basket", "q_recommend", "q_text", "q_space", "q_models", "q_io"]
 
 
 def collect(attribute: str) -> dict:
