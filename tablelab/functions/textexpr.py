@@ -12,12 +12,15 @@ from pyspark.sql import functions as F
 
 from .scalars import count_literal, count_regex, ratio, replace_all
 
-# The JVM's \b is Unicode-aware while its \w is not; this boundary is ASCII on both sides.
-ASCII_BOUNDARY = "(?:(?<=[A-Za-z0-9_])(?![A-Za-z0-9_])|(?<![A-Za-z0-9_])(?=[A-Za-z0-9_]))"
+# Patterns below write \< and \> for the start and end of a word. The JVM's \b is Unicode-aware while
+# its \w is not, so ASCII patterns spell the two boundaries out.
+WORD_START, WORD_END = "(?<![A-Za-z0-9_])", "(?![A-Za-z0-9_])"
 
 
 def _re(pattern: str, ascii: bool) -> str:
-    return pattern.replace(r"\b", ASCII_BOUNDARY) if ascii else "(?U)" + pattern
+    if ascii:
+        return pattern.replace(r"\<", WORD_START).replace(r"\>", WORD_END)
+    return "(?U)" + pattern.replace(r"\<", r"\b").replace(r"\>", r"\b")
 
 
 def letters_and_digits(col: Column) -> Column:
@@ -45,8 +48,8 @@ STYLE_COUNTS = [
     ("use_break", "\n", False),
     ("use_word", r"\w+", True),
     ("use_symbol", "[&@#$%*^]", True),
-    ("use_char", r"\W*\b\w\b\W*", True),
-    ("use_i", r"\b[Ii]\b", True),
+    ("use_char", r"\W*\<\w\>\W*", True),
+    ("use_i", r"\<[Ii]\>", True),
     ("use_emotj", "[:;=]-?[)DP]", True),
 ]
 
@@ -91,21 +94,21 @@ SHORT_FORMS = [
     ("pleas", " please "), ("sourc", " source "), ("peopl", " people "), ("remov", " remove "),
 ]
 INTERJECTIONS = [
-    (r"(a|e)w+\b", ""), (r"(y)a+\b", ""), (r"(w)w+\b", ""), (r"((a+)|(h+))(a+)((h+)?)\b", ""), (r"((lol)(o?))+\b", ""),
+    (r"(a|e)w+\>", ""), (r"(y)a+\>", ""), (r"(w)w+\>", ""), (r"((a+)|(h+))(a+)((h+)?)\>", ""), (r"((lol)(o?))+\>", ""),
 ]
 SPLIT_SUFFIXES = [
-    (r"(?<=\b(fu|su|di|co|li))\s(?=(ck)\b)", ""), (r"(?<=\w(ck))\s(?=(ing)\b)", ""), (r"(?<=\b\w)\s(?=\w\b)", ""),
+    (r"(?<=\<(fu|su|di|co|li))\s(?=(ck)\>)", ""), (r"(?<=\w(ck))\s(?=(ing)\>)", ""), (r"(?<=\<\w)\s(?=\w\>)", ""),
 ]
 LAUGHTER = [(r"((lol)(o?))+", "")]
 SPLIT_SUFFIXES_AGAIN = [
-    (r"(?<=\b(fu|su|di|co|li))\s(?=(ck)\b)", ""), (r"(?<=\w(uc))\s(?=(ing)\b)", ""),
-    (r"(?<=\b(fu|su|di|co|li))\s(?=(ck)\w)", ""), (r"(?<=\b(fu|su|di|co|li))\s(?=(k)\w)", "c"),
+    (r"(?<=\<(fu|su|di|co|li))\s(?=(ck)\>)", ""), (r"(?<=\w(uc))\s(?=(ing)\>)", ""),
+    (r"(?<=\<(fu|su|di|co|li))\s(?=(ck)\w)", ""), (r"(?<=\<(fu|su|di|co|li))\s(?=(k)\w)", "c"),
 ]
 MENTIONS_DIGITS_BREAKS_ASCII = [(r"@\w+", " "), (r"[0-9]", " "), (r"\n", " ")]
 MENTIONS_DIGITS_BREAKS = [(r"@\w+", " "), (r"\p{Nd}", " "), (r"\n", " ")]
 NON_WORDS_ASCII = [(r"[^\p{Graph}]", " "), (r"\p{Punct}", " "), (r"[^A-Za-z0-9]", " ")]
 NON_WORDS = [(r"[^\p{Graph}]", " "), (r"\p{P}", " "), (r"[^\p{IsAlphabetic}\p{Nd}]", " ")]
-SHORT_WORDS = [(r"\W*\b\w\b\W*", " "), (r"\b\w{1,2}\b", " ")]
+SHORT_WORDS = [(r"\W*\<\w\>\W*", " "), (r"\<\w{1,2}\>", " ")]
 SPACE_RUNS = [(r"[ \t\n\f\r]{2}", " "), (r"[ \t\n\f\r]+", " ")]
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import row_positions, running_totals
+from .ordered import default_slices, row_positions, running_totals
 
 
 def pair_wins(df: DataFrame, keys: Sequence[str], score: str, positive: str) -> DataFrame:
@@ -96,7 +96,8 @@ def stratified_folds(df: DataFrame, label: str, key: str, hashed: Column, k: int
     cut into k runs. Labels are few and large, so the numbering is sliced.
     """
     keyed = df.withColumn("__h", hashed)
-    cuts = {"__h": [modulus * i / 64 for i in range(1, 64)], key: []}
+    n = default_slices(df)
+    cuts = {"__h": [modulus * i / n for i in range(1, n)], key: []}
     ranked = row_positions(keyed, [label], ["__h", key], "__pos", cuts=cuts)
     sizes = df.groupBy(label).agg(F.count("*").alias("__size"))
     small, extra = F.floor(F.col("__size") / k), F.col("__size") % k

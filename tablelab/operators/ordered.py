@@ -50,12 +50,18 @@ def _code(df: DataFrame, name: str) -> tuple[Column, bool]:
     return col.cast("double"), True
 
 
+def _filler(kind: T.DataType) -> Column:
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.lit("1970-01-01").cast(kind)
+    return F.lit("").cast(kind) if isinstance(kind, T.StringType) else F.lit(0).cast(kind)
+
+
 def quantile_cuts(df: DataFrame, columns: Sequence[str], slices: int) -> dict[str, list[float]]:
     """At most ``slices - 1`` cut points per column from one mergeable sketch pass."""
     shares = [i / slices for i in range(1, slices)]
     row = df.agg(
         *[
-            F.percentile_approx(_code(df, c)[0], F.array(*[F.lit(s) for s in shares]), F.lit(10_000)).alias(f"q{i}")
+            F.percentile_approx(_code(df, c)[0], F.array(*[F.lit(s) for s in shares]), F.lit(max(10_000, 10 * slices))).alias(f"q{i}")
             for i, c in enumerate(columns)
         ]
     ).first()
@@ -66,7 +72,8 @@ def quantile_cuts(df: DataFrame, columns: Sequence[str], slices: int) -> dict[st
 
 
 def default_slices(df: DataFrame) -> int:
-    return max(8, min(1000, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    """As many slices as the session has shuffle partitions, so they grow with the cluster's setting."""
+    return max(8, min(10_000, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
 
 def with_slices(
@@ -90,7 +97,8 @@ def with_slices(
         points = cuts.get(name, [])
         splits = [-math.inf]
         for p in points:
-            splits += [x for x in (p, math.nextafter(p, math.inf)) if x > splits[-1]]
+            if p > splits[-1]:
+                splits += [p, math.nextafter(p, math.inf)]
         splits.append(math.inf)
         raw, bin_ = f"__code{i}", f"__bin{i}"
         out = out.withColumn(raw, code)
@@ -101,8 +109,11 @@ def with_slices(
             number = F.when(F.col(raw).isNull(), -1).otherwise(0).cast("long")
         number = (width - 2 - number) if down else (number + 1)
         slice_no = slice_no * width + F.when(alone, number).otherwise(0)
-        is_cut = F.col(raw).isin(points) if points else F.lit(False)
-        alone = alone & is_cut & (F.abs(F.col(raw)) < 2.0**53) if exact else F.lit(False)
+        if exact and len(splits) > 2:
+            # Odd bins hold a cut value alone; beyond 2^53 two whole numbers may share a code.
+            alone = alone & (F.coalesce(F.col(bin_), F.lit(0.0)) % 2 == 1) & (F.abs(F.col(raw)) < 2.0**53)
+        else:
+            alone = F.lit(False)
     return out.withColumn(SLICE, slice_no).select(*df.columns, SLICE)
 
 
@@ -123,26 +134,22 @@ def running_totals(
     """
     if staged:
         df = stage(df, "running")
-    sliced = with_slices(df, order, slices, cuts)
-    part = [*keys, SLICE]
     names = list(sums)
-    per_slice = sliced.groupBy(*part).agg(*[F.sum(sums[n]).alias(f"__t_{n}") for n in names])
-    # One row per (key, slice): a key has at most as many rows here as there are slices.
-    before = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    base = per_slice.select(
-        *[F.col(c).alias(f"__k_{c}") for c in part],
-        *[F.coalesce(F.sum(f"__t_{n}").over(before), F.lit(0)).alias(f"__b_{n}") for n in names],
-    )
+    # NULL-free stand-ins of the keys: the window and the join then hash the same columns.
+    stand_ins: dict[str, Column] = {}
+    for i, k in enumerate(keys):
+        stand_ins[f"__k{i}"] = F.coalesce(F.col(k), _filler(df.schema[k].dataType))
+        stand_ins[f"__n{i}"] = F.col(k).isNull()
+    sliced = with_slices(df, order, slices, cuts).withColumns({**stand_ins, **{f"__v_{n}": sums[n] for n in names}})
+    part = [*stand_ins, SLICE]
+    per_slice = sliced.groupBy(*part).agg(*[F.sum(f"__v_{n}").alias(f"__t_{n}") for n in names])
+    # One row per (key, slice): few rows per key, however many rows the key has.
+    before = Window.partitionBy(*(list(stand_ins) or [F.lit(0)])).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    base = per_slice.select(*part, *[F.coalesce(F.sum(f"__t_{n}").over(before), F.lit(0)).alias(f"__b_{n}") for n in names])
     inside = Window.partitionBy(*part).orderBy(*sort_columns(order)).rowsBetween(Window.unboundedPreceding, 0)
-    local = sliced.withColumns({f"__l_{n}": F.sum(sums[n]).over(inside) for n in names})
-    same = [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in part]
-    on = same[0]
-    for s in same[1:]:
-        on = on & s
+    local = sliced.withColumns({f"__l_{n}": F.sum(f"__v_{n}").over(inside) for n in names})
     kept = [c for c in df.columns if c not in names]
-    return local.join(base, on, "inner").select(
-        *kept, *[(F.col(f"__l_{n}") + F.col(f"__b_{n}")).alias(n) for n in names]
-    )
+    return local.join(base, part, "inner").select(*kept, *[(F.col(f"__l_{n}") + F.col(f"__b_{n}")).alias(n) for n in names])
 
 
 def row_positions(

@@ -87,18 +87,18 @@ def negative_items(positives: DataFrame, items: DataFrame, seed: int = 17) -> Da
     pos = stage(positives.select("user", "item").distinct().join(numbered, "item"), "positives")
     ranked = row_positions(pos, ["user"], ["idx"], "rank")
     sizes = pos.groupBy("user").agg(F.count("*").alias("p"))
-    gaps = ranked.select("user", (F.col("idx") - F.col("rank") + 1).alias("at"), F.lit(0).alias("draw"))
+    gaps = ranked.select("user", (F.col("idx") - F.col("rank") + 1).alias("at"), F.lit(0).alias("draw"), "idx")
     free = F.lit(m) - F.col("p")
     drawn = pos.join(sizes, "user").filter(free > 0).select(
         "user",
         F.pmod(F.col("user").cast("bigint") * 31 + F.col("item").cast("bigint") * 7919 + seed * 104_729, free).alias("at"),
         F.lit(1).alias("draw"),
+        "idx",
     )
-    # Equal (user, at) rows merge into counts, so running totals see distinct rows, positives first.
-    both = gaps.union(drawn).groupBy("user", "at", "draw").agg(F.count("*").alias("k"))
-    counted = running_totals(both, ["user"], ["at", "draw"], {"below": F.when(F.col("draw") == 0, F.col("k")).otherwise(0)}, staged=True)
-    hits = counted.filter("draw = 1").select("user", (F.col("at") + F.col("below")).alias("idx"), "k")
-    return hits.join(numbered, "idx").select("user", "item", F.explode(F.sequence(F.lit(1), F.col("k"))).alias("copy")).drop("copy")
+    # Positives come before draws at the same number; the item behind each row makes rows distinct.
+    counted = running_totals(gaps.union(drawn), ["user"], ["at", "draw", "idx"], {"below": 1 - F.col("draw")}, staged=True)
+    hits = counted.filter("draw = 1").select("user", (F.col("at") + F.col("below")).alias("idx"))
+    return hits.join(numbered, "idx").select("user", "item")
 
 
 def auc_of_scorer(positives: DataFrame, negatives: DataFrame, scorer: Scorer) -> DataFrame:

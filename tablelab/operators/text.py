@@ -41,10 +41,17 @@ def word_count(lines: DataFrame, column: str = "value") -> DataFrame:
     return count_by(words, "word")
 
 
-def token_rows(df: DataFrame, key: str, text: str, ascii: bool = True) -> DataFrame:
-    """``key, pos, token``: one row per token in text order."""
-    cleaned = E.letters_and_digits(F.col(text))
-    return df.select(key, F.posexplode(E.tokens(cleaned, ascii)).alias("pos", "token"))
+def token_rows(df: DataFrame, key: str, text: str, ascii: bool = True, min_length: int = 3) -> DataFrame:
+    """``key, pos, token``: lower-cased words of the cleaned text with their place in it.
+
+    Short words and words with a digit are left out. Cleaning (neither letter nor digit → blank) and
+    splitting at non-word characters are one split, so each text is scanned once; the filters run on
+    rows inside generated code.
+    """
+    gap = "[^A-Za-z0-9]+" if ascii else r"[^\p{IsAlphabetic}\p{Nd}]+"
+    words = df.select(key, F.posexplode(F.split(text, gap)).alias("pos", "word"))
+    kept = words.filter((F.char_length("word") >= min_length) & ~F.col("word").rlike("[0-9]"))
+    return kept.select(key, "pos", F.lower("word").alias("token"))
 
 
 def token_counts(rows: DataFrame) -> DataFrame:
@@ -260,9 +267,10 @@ def stem_rows(rows: DataFrame) -> DataFrame:
 
 
 def fit_word2vec(docs: DataFrame, column: str = "words", size: int = 10, min_count: int = 10, window: int = 5,
-                 rate: float = 0.025, epochs: int = 15, seed: int = 1) -> Word2VecModel:
-    """Skip-gram vectors; each document is a sequence of its own. One partition per task slot trains in parallel."""
-    parts = docs.sparkSession.sparkContext.defaultParallelism
+                 rate: float = 0.025, epochs: int = 15, seed: int = 1, partitions: int | None = None) -> Word2VecModel:
+    """Skip-gram vectors; each document is a sequence of its own. Partitions train side by side and are
+    averaged after each epoch; too many of them dilute the result, hence the modest default."""
+    parts = partitions or min(docs.sparkSession.sparkContext.defaultParallelism, 32)
     w2v = Word2Vec(
         vectorSize=size, minCount=min_count, windowSize=window, stepSize=rate, maxIter=epochs, seed=seed,
         numPartitions=parts, inputCol=column, outputCol="vector",

@@ -16,12 +16,11 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents spread over all task slots when they come in fewer files than there are slots;
-    with enough files (any large table) no shuffle is added."""
-    d = load(spark, sf_dir, "documents")
-    slots = spark.sparkContext.defaultParallelism
-    return d.repartition(slots) if len(d.inputFiles()) < slots else d
+def spread(df: DataFrame) -> DataFrame:
+    """Spread rows over all task slots when the scan has fewer partitions than there are slots; with
+    enough of them (any large table) no shuffle is added."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
 
 
 # --- trips -----------------------------------------------------------------------------------------
@@ -191,7 +190,7 @@ recency AS (SELECT user_id, product_id, count(*) AS prior_prod_cnt, min(orders_a
 
 
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d, l = texts(spark, sf_dir), load(spark, sf_dir, "labels")
+    d, l = spread(load(spark, sf_dir, "documents")), load(spark, sf_dir, "labels")
     return d.join(l, "doc_id", "left").select(
         F.col("doc_id").alias("id"),
         F.col("text").alias("comment_text"),
@@ -213,7 +212,7 @@ TRAFFIC_STRINGS = ["l_linestatus", "o_orderpriority"]
 
 
 def traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    l, o = load(spark, sf_dir, "lineitem"), load(spark, sf_dir, "orders")
+    l, o = spread(load(spark, sf_dir, "lineitem")), load(spark, sf_dir, "orders")
     j = l.join(o, l.l_orderkey == o.o_orderkey)
     return j.select(*TRAFFIC_NUMERIC, *TRAFFIC_STRINGS, F.col("l_returnflag").alias("label"))
 

@@ -42,7 +42,7 @@ SCALE = [10.0, 20_000.0, 0.05, 0.04]
 
 def _assigned(spark, sf):
     t = X.traffic(spark, sf)
-    scaled = F.array(*[F.col(c) / s for c, s in zip(X.TRAFFIC_NUMERIC, SCALE)])
+    scaled = [F.col(c) / s for c, s in zip(X.TRAFFIC_NUMERIC, SCALE)]
     return A.assign_nearest(t, scaled, CENTRES)
 
 
@@ -279,9 +279,9 @@ def kmeans_anomalies(spark, sf):
     model = A.fit_clusters(t, X.TRAFFIC_NUMERIC, k=10, iterations=10)
     from pyspark.ml.functions import vector_to_array
 
-    placed = model.transform(t).withColumn("x", vector_to_array("features")).drop("cluster")
+    placed = model.transform(t).withColumn("x", vector_to_array("features"))
     centres = [[float(v) for v in c] for c in model.stages[-1].clusterCenters()]
-    return A.anomalies(A.assign_nearest(placed, F.col("x"), centres), [*X.TRAFFIC_NUMERIC, "label"])
+    return A.anomalies(A.own_distance(placed, F.col("x"), "cluster", centres), [*X.TRAFFIC_NUMERIC, "label"])
 
 
 def _digits(spark, sf):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import textexpr as E
 from ..operators import text as T
 from ..operators.relational import keep_listed, weighted_tally
+from ..session import stage
 from . import fixtures as X
 from .fixtures import load
 
@@ -34,16 +35,16 @@ def _stop(spark, sf, counts):
 
 def _clean(spark, sf):
     rows = _rows(spark, sf)
-    counts = T.token_counts(rows)
+    counts = stage(T.token_counts(rows), "counts")  # read three times below
     return T.clean_rows(rows, _stop(spark, sf, counts), counts)
 
 
 _LISTED = ", ".join(f"('{w}')" for w in sorted(set(T.ENGLISH_STOP_WORDS) | set(T.SITE_STOP_WORDS)))
 _TOKENS = f"""{X.COMMENTS_SQL},
-pieces AS (SELECT id, list_filter(list_transform(regexp_split_to_array(
-  regexp_replace(comment_text, '[^\\p{{L}}\\p{{M}}\\p{{Nl}}\\p{{Nd}}]', ' ', 'g'), '[^A-Za-z0-9_]+'), lambda w: lower(w)),
-  lambda w: length(w) > 2 AND NOT regexp_matches(w, '[0-9]')) AS ws FROM comments),
-toks AS (SELECT id, unnest(ws) AS token, generate_subscripts(ws, 1) - 1 AS pos FROM pieces),
+pieces AS (SELECT id, regexp_split_to_array(
+  regexp_replace(comment_text, '[^\\p{{L}}\\p{{M}}\\p{{Nl}}\\p{{Nd}}]', ' ', 'g'), '[^A-Za-z0-9_]+') AS ws FROM comments),
+toks AS (SELECT id, lower(w) AS token, pos FROM (SELECT id, unnest(ws) AS w, generate_subscripts(ws, 1) - 1 AS pos FROM pieces)
+  WHERE length(w) > 2 AND NOT regexp_matches(w, '[0-9]')),
 counts AS (SELECT token, count(*) AS n FROM toks GROUP BY 1)"""
 _STOP = f"""stops AS (SELECT token FROM (SELECT token, rank() OVER (ORDER BY n DESC) AS r FROM counts) WHERE r <= 200
   UNION SELECT * FROM (VALUES {_LISTED}) v(token))"""
@@ -58,7 +59,7 @@ def tokens(spark, sf):
 
 @register(f"WITH {_TOKENS}, {_STOP} SELECT token FROM stops")
 def stop_words(spark, sf):
-    return _stop(spark, sf, T.token_counts(_rows(spark, sf)))
+    return _stop(spark, sf, stage(T.token_counts(_rows(spark, sf)), "counts"))
 
 
 @register(f"WITH {_TOKENS} SELECT token FROM counts WHERE n < 10")
@@ -137,7 +138,7 @@ def _normal_sql() -> str:
     """The rules without look-around, written for an engine whose \\b and \\w are ASCII."""
     expr = "lower(comment_text)"
     for pattern, replacement in E.cleaning_rules(repair=False):
-        p = pattern.replace(E.ASCII_BOUNDARY, r"\b").replace(r"[^\p{Graph}]", "[[:^graph:]]").replace(r"\p{Punct}", "[[:punct:]]")
+        p = pattern.replace(E.WORD_START, r"\b").replace(E.WORD_END, r"\b").replace(r"[^\p{Graph}]", "[[:^graph:]]").replace(r"\p{Punct}", "[[:punct:]]")
         p, r = p.replace("'", "''"), replacement.replace("'", "''")
         expr = f"regexp_replace({expr}, '{p}', '{r}', 'g')"
     return expr
@@ -209,8 +210,6 @@ def matrix_bound(spark, sf):
 
 
 def _model(spark, sf, epochs=2):
-    from ..session import stage
-
     rows = stage(_clean(spark, sf), "tokens")
     return T.fit_word2vec(T.regroup(rows, "id"), epochs=epochs), rows
 
@@ -232,3 +231,10 @@ def word_neighbours(spark, sf):
 def doc_vectors(spark, sf):
     model, rows = _model(spark, sf)
     return T.document_vectors(model, rows, "id", 10).select("id", F.col("vector").cast("string").alias("vector"), "known")
+
+
+@register(f"""WITH {X.COMMENTS_SQL} SELECT id, array_to_string(list_filter(list_transform(regexp_split_to_array(comment_text, '[^A-Za-z0-9_]+'),
+  lambda w: lower(w)), lambda w: length(w) > 2 AND NOT regexp_matches(w, '[0-9]')), ' ') AS words FROM comments""")
+def token_arrays(spark, sf):
+    """Tokens of the uncleaned text as one array per document."""
+    return X.comments(spark, sf).select("id", F.array_join(E.tokens(F.col("comment_text")), " ").alias("words"))
