@@ -114,16 +114,16 @@ def departments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def numbered_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders numbered per user, with the gap in days to the order before and the evaluation set."""
+    """Orders numbered per user as a table, with the gap in days to the order before and the evaluation set."""
     o = load(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"), F.to_date("o_orderdate").alias("day")
     )
     numbered = row_positions(o, ["user_id"], ["day", "order_id"], "order_number")
-    numbered = stage(numbered, "orders")
+    numbered = stage(numbered, "numbered")
     gaps = previous_values(numbered, ["user_id"], "order_number", {"before": "day"})
     last = o.groupBy("user_id").agg(F.count("*").alias("last_number"))
     held = F.when(F.col("user_id") % 3 != 0, "train").otherwise("test")
-    return gaps.join(last, "user_id").select(
+    out = gaps.join(last, "user_id").select(
         "order_id",
         "user_id",
         F.when(F.col("order_number") == F.col("last_number"), held).otherwise("prior").alias("eval_set"),
@@ -132,23 +132,25 @@ def numbered_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("order_id") % 24).cast("int").alias("order_hour_of_day"),
         F.datediff("day", "before").alias("days_since_prior_order"),
     )
+    return stage(out, "orders")
 
 
 def order_lines(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFrame:
-    """One row per order and product; ``reordered`` marks a product the user had in an earlier order."""
+    """One row per order and product, as a table; ``reordered`` marks a product the user had in an earlier order."""
     l = load(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_id"), F.col("l_suppkey").alias("product_id"), "l_linenumber"
     )
     lines = l.groupBy("order_id", "product_id").agg(F.min("l_linenumber").alias("add_to_cart_order"))
     keyed = lines.join(orders.select("order_id", "user_id", "order_number", "eval_set"), "order_id")
     first = keyed.groupBy("user_id", "product_id").agg(F.min("order_number").alias("first_number"))
-    return keyed.join(first, ["user_id", "product_id"]).select(
+    out = keyed.join(first, ["user_id", "product_id"]).select(
         "order_id",
         "product_id",
         "add_to_cart_order",
         (F.col("order_number") > F.col("first_number")).cast("int").alias("reordered"),
         "eval_set",
     )
+    return stage(out, "lines")
 
 
 BASKET_SQL = """products AS (SELECT s_suppkey AS product_id, s_name AS product_name, s_nationkey AS aisle_id,
@@ -311,6 +313,28 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def service_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One GeoJSON area per supplier: a square with a hole, or for every third supplier two triangles."""
+    s = load(spark, sf_dir, "supplier")
+    x, y = (F.col("s_suppkey") * 53 % 1000) * 0.25, (F.col("s_suppkey") * 29 % 1000) * 0.125
+
+    def ring(*corners):
+        return F.array(*[F.array(x + dx, y + dy) for dx, dy in corners])
+
+    square = F.array(ring((0, 0), (4, 0), (4, 4), (0, 4), (0, 0)), ring((1, 1), (2, 1), (2, 2), (1, 2), (1, 1)))
+    parts = F.array(F.array(ring((0, 0), (1, 0), (1, 1), (0, 0))), F.array(ring((8, 8), (9, 8), (9, 9), (8, 8))))
+    polygon = F.to_json(F.struct(F.lit("Polygon").alias("type"), square.alias("coordinates")))
+    multi = F.to_json(F.struct(F.lit("MultiPolygon").alias("type"), parts.alias("coordinates")))
+    return s.select(F.col("s_name").alias("name"), F.when(F.col("s_suppkey") % 3 == 0, multi).otherwise(polygon).alias("geometry"))
+
+
+AREAS_SQL = """areas AS (SELECT s_name AS name, CASE WHEN s_suppkey % 3 = 0 THEN 'MultiPolygon' ELSE 'Polygon' END AS kind,
+  CASE WHEN s_suppkey % 3 = 0 THEN 6 ELSE 8 END::BIGINT AS edges, (s_suppkey * 53 % 1000) * 0.25::DOUBLE AS xmin,
+  (s_suppkey * 53 % 1000) * 0.25::DOUBLE + CASE WHEN s_suppkey % 3 = 0 THEN 9 ELSE 4 END AS xmax,
+  (s_suppkey * 29 % 1000) * 0.125::DOUBLE AS ymin,
+  (s_suppkey * 29 % 1000) * 0.125::DOUBLE + CASE WHEN s_suppkey % 3 = 0 THEN 9 ELSE 4 END AS ymax FROM supplier)"""
+
+
 ZONES_SQL = """corner AS (SELECT * FROM (VALUES (0, -0.2, 0.0), (1, -0.1, -0.11), (2, 0.1, -0.11), (3, 0.2, 0.0),
   (4, 0.1, 0.11), (5, -0.1, 0.11), (6, -0.2, 0.0)) t(i, dx, dy)),
 ring AS (SELECT n_name AS zone, i, 8.86::DOUBLE + (n_nationkey % 5) * 0.32::DOUBLE + dx::DOUBLE AS x,

@@ -112,15 +112,14 @@ def scan_json_nested(spark, sf):
     )
 
 
-@register(f"""WITH {X.ZONES_SQL} SELECT zone AS name, 'Polygon' AS kind, count(*) AS edges, min(x1) AS xmin, max(y1) AS ymax
-  FROM zone_edges GROUP BY 1""")
+@register(f"""WITH {X.AREAS_SQL} SELECT name, kind, edges, xmin, ymax FROM areas""")
 def scan_polygons(spark, sf):
     """GeoJSON features, one per line, parsed to edges and boxes."""
     path = fresh_path(spark, "areas")
     feature = F.concat(
-        F.lit('{"type": "Feature", "properties": {"name": "'), F.col("NIL"), F.lit('"}, "geometry": '), F.col("geometry"), F.lit("}")
+        F.lit('{"type": "Feature", "properties": {"name": "'), F.col("name"), F.lit('"}, "geometry": '), F.col("geometry"), F.lit("}")
     )
-    X.zones(spark, sf).select(feature.alias("value")).write.text(path)
+    X.service_areas(spark, sf).select(feature.alias("value")).write.text(path)
     areas = geo.polygon_table(IO.read_areas(spark, path), "geojson")
     return areas.select("name", "kind", F.size("edges").cast("bigint").alias("edges"), "box.xmin", "box.ymax")
 

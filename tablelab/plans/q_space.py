@@ -216,11 +216,11 @@ def cell_keys(spark, sf):
     return count_by(s.select(G.cell(F.col("lng"), 0.05).alias("cx"), G.cell(F.col("lat"), 0.05).alias("cy")), "cx", "cy")
 
 
-@register(f"""WITH {X.ZONES_SQL} SELECT zone AS name, count(*) AS edges, min(x1) AS xmin, max(x1) AS xmax, min(y1) AS ymin, max(y1) AS ymax
-  FROM zone_edges GROUP BY 1""")
+@register(f"""WITH {X.AREAS_SQL} SELECT name, edges, xmin, xmax, ymin, ymax FROM areas""")
 def polygon_parse(spark, sf):
-    z = geo.polygon_table(X.zones(spark, sf), "geometry")
-    return z.select(F.col("NIL").alias("name"), F.size("edges").cast("bigint").alias("edges"), "box.*")
+    """Polygons with holes and multi-part polygons to edges and boxes."""
+    z = geo.polygon_table(X.service_areas(spark, sf), "geometry")
+    return z.select("name", F.size("edges").cast("bigint").alias("edges"), "box.*")
 
 
 # --- rasters ---------------------------------------------------------------------------------------

@@ -10,6 +10,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folder: str | None = None
+_staged: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -38,9 +39,21 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: cuts lineage, survives lost executors."""
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
+    _staged.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_staged(spark: SparkSession) -> int:
+    """Delete the tables this process has staged, once no frame built on them is needed any more."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    n = len(_staged)
+    while _staged:
+        path = hadoop(_staged.pop())
+        path.getFileSystem(conf).delete(path, True)
+    return n
+
+
 @contextmanager
 def cached(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
     """Keep ``df`` in memory or on disk while an iterative fit runs over it."""

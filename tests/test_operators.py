@@ -12,7 +12,7 @@ from tablelab.functions import textexpr as E
 from tablelab.functions.calendar import parse_day, with_calendar
 from tablelab.operators import anomaly, basket, evaluate, features, geo, models, raster, recommend, relational, sampling, sensors, text
 from tablelab.plans import fixtures as X
-from tablelab.session import fresh_path, shared_folder, small_side, stage
+from tablelab.session import drop_staged, fresh_path, shared_folder, small_side, stage
 
 
 def one(spark, column):
@@ -33,6 +33,11 @@ def test_stage_keeps_rows_and_schema(spark):
     assert got.dtypes == df.dtypes and sorted(got.collect()) == sorted(df.collect())
 
 
+def test_drop_staged_forgets_what_it_deleted(spark):
+    df = stage(spark.range(3))
+    assert df.inputFiles() and drop_staged(spark) > 0 and drop_staged(spark) == 0
+
+
 def test_small_side_hints_only_what_is_small(spark):
     df = spark.range(100).toDF("id")
 
