@@ -160,8 +160,8 @@ ord0 AS (SELECT o_orderkey AS order_id, o_custkey AS user_id, CAST(o_orderdate A
   count(*) OVER (PARTITION BY o_custkey) AS last_number,
   lag(CAST(o_orderdate AS DATE)) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS before FROM orders),
 ord AS (SELECT order_id, user_id, CASE WHEN order_number < last_number THEN 'prior' WHEN user_id % 3 <> 0 THEN 'train'
-  ELSE 'test' END AS eval_set, order_number, dayofweek(day) + 1 AS order_dow, order_id % 24 AS order_hour_of_day,
-  date_diff('day', before, day) AS days_since_prior_order FROM ord0),
+  ELSE 'test' END AS eval_set, order_number, CAST(dayofweek(day) + 1 AS INTEGER) AS order_dow, CAST(order_id % 24 AS INTEGER) AS order_hour_of_day,
+  CAST(date_diff('day', before, day) AS INTEGER) AS days_since_prior_order FROM ord0),
 lines0 AS (SELECT l_orderkey AS order_id, l_suppkey AS product_id, min(l_linenumber) AS add_to_cart_order
   FROM lineitem GROUP BY 1, 2),
 lines1 AS (SELECT lines0.*, eval_set, order_number,

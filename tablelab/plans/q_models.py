@@ -419,7 +419,7 @@ def logit_enet(spark, sf):
 @register()
 def ridge_path_cv(spark, sf):
     df, _ = _doc_frame(spark, sf)
-    _, board = M.ridge_path_cv(df, "quality", "id", folds=3, penalties=M.ridge_path(n=3))
+    _, board = M.ridge_path_cv(df, "quality", "id", folds=3, penalties=M.ridge_path(n=3), iterations=25)
     return board
 
 

@@ -87,7 +87,7 @@ if __name__ == "__main__":
     import __spark_entry__ as entry
 
     sf, wanted = sys.argv[1], sys.argv[2:]
-    sf_dir = f"/root/testdata/{sf}"
+    sf_dir = sf if sf.startswith("/") else f"/root/testdata/{sf}"
     spark, con = session(), duck(sf_dir)
     queries, oracles = entry.queries(), entry.oracle_sql()
     names = [n for n in queries if not wanted or any(n == w or (w.endswith("*") and n.startswith(w[:-1])) for w in wanted)]
