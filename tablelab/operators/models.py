@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import hash_bucket
-from ..session import cached
+from ..session import cached, stage
 from .evaluate import stratified_folds
 
 # The tree grid of the cover-type study.
@@ -102,8 +102,8 @@ def search_split(df: DataFrame, estimator: Estimator, maps: list, evaluator, rat
 def search_folds(df: DataFrame, estimator: Estimator, maps: list, evaluator, fold: str, folds: int, parallelism: int = 4):
     """Best model and leaderboard over given folds (column ``fold`` holds 0..folds-1)."""
     search = CrossValidator(estimator=estimator, estimatorParamMaps=maps, evaluator=evaluator, numFolds=folds, foldCol=fold, parallelism=parallelism)
-    with cached(df):
-        fitted = search.fit(df)
+    with cached(stage(df, "folds")) as rows:
+        fitted = search.fit(rows)
     return fitted.bestModel, _board(df, maps, fitted.avgMetrics, evaluator)
 
 
@@ -168,7 +168,7 @@ def auto_select(df: DataFrame, label: str, key: str, inputs: int, folds: int = 1
     """Candidate families over the same folds → (best model fitted on all rows, leaderboard)."""
     candidates = candidates or default_candidates(inputs, label)
     auc = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
-    folded = with_folds(df, label, key, folds)
+    folded = stage(with_folds(df, label, key, folds), "folds")
     rows = []
     with cached(folded):
         for name, est in candidates.items():
