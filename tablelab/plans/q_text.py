@@ -168,8 +168,10 @@ vocab AS (SELECT token, CAST(sum(tf) AS BIGINT) AS term_count, count(*) AS doc_c
   HAVING sum(tf) >= 4 AND count(*) / (SELECT count(*) FROM comments) <= 0.3 ORDER BY 2 DESC, 1 LIMIT 10000)"""
 
 
-def _vocab(spark, sf):
+def _vocab(spark, sf, staged=True):
     docs, rows = X.comments(spark, sf), _rows(spark, sf)
+    if staged:
+        rows = stage(rows, "tokens")  # for queries that read the tokens more than once
     listed = T.word_list(spark, sorted(set(T.ENGLISH_STOP_WORDS) | set(T.SITE_STOP_WORDS)))
     total = load(spark, sf, "documents").agg(F.count("*").alias("n")).scalar()
     return docs, rows, T.vocabulary(rows, "id", total, listed)
@@ -177,7 +179,7 @@ def _vocab(spark, sf):
 
 @register(f"WITH {_VOCAB} SELECT * FROM vocab")
 def vocabulary_pruned(spark, sf):
-    return _vocab(spark, sf)[2]
+    return _vocab(spark, sf, staged=False)[2]
 
 
 @register(f"""WITH {_VOCAB}, w AS (SELECT id, token, round(tf / sqrt(sum(tf * tf) OVER (PARTITION BY id)), 6) AS weight
