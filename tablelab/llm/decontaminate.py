@@ -31,7 +31,7 @@ GAP = 64  # free positions between texts, more than a phrase and its slop
 _INDEX = "block long, ids array<long>, n_words array<long>, base array<long>, terms binary, starts binary, positions binary"
 
 
-def build_index(documents: DataFrame, block_bytes: int = 6 << 20) -> DataFrame:
+def build_index(documents: DataFrame, block_bytes: int = 3 << 20) -> DataFrame:
     """Stored postings of all words of ``documents`` (doc_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
