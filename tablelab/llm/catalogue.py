@@ -69,9 +69,8 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def toxicity_model(spark: SparkSession, documents: DataFrame, sf_dir: str) -> dict:
-    labels = _table(spark, sf_dir, "labels").where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    rows = documents.where(remainder(5) != 0).select("doc_id", "text").join(labels, "doc_id").select("text", "toxic")
-    return toxicity.learn(rows)
+    labels = _table(spark, sf_dir, "labels").where(remainder(5) != 0)
+    return toxicity.learn(documents, labels)
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,11 +1,11 @@
 """Toxicity by compression distance: two zstandard dictionaries, one per class, compared window by window.
 
 Fit, on a bounded sample of labelled rows: character runs that are much more frequent in texts of one class
-than in the other train that class's dictionary. Every window of a text (up to 64 bytes, cut at blanks) is
-compressed with both dictionaries; the difference of the two lengths tells which dictionary knows more of the
-window. How often the differences pass several thresholds feeds a logistic calibration that is fitted on the
-part of the sample the dictionaries have not seen, with its intercept moved to the class shares of all
-labelled rows.
+than in the other train that class's dictionary. Every window of a text (about a hundred
+bytes, cut at blanks) is compressed with both dictionaries; the difference of the two lengths tells which
+dictionary knows more of the window. How often the differences pass several thresholds feeds a logistic calibration that is fitted on the
+part of the sample the dictionaries have not seen; its intercept is set so that 0.5 is the score with the best
+balance of precision and recall at the class shares of all labels.
 
 Defined cases: null and empty texts have one empty window and get the calibrated score of no evidence; rows
 with a null label or id are never learnt from; repeated rows are scored one by one; without labelled rows of
@@ -24,8 +24,11 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablelab import session
+
 GRAM = 6
-WINDOW = 64
+#: Window sizes in bytes, dictionary sizes and least match lengths; each adds its differences to the features.
+SETTINGS = ((96, 1024, 5), (128, 2048, 4))
 THRESHOLDS = (1, 2, 3, 4, 5, 6)
 
 
@@ -76,15 +79,15 @@ def _dictionary(samples: list[bytes], size: int) -> bytes:
         return b" ".join(dict.fromkeys(samples))[:size] or b" " * 16
 
 
-def _compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
+def _compressor(dictionary: bytes, least_match: int) -> zstandard.ZstdCompressor:
     settings = zstandard.ZstdCompressionParameters(
-        window_log=12, hash_log=11, chain_log=11, search_log=3, min_match=4, target_length=16,
+        window_log=12, hash_log=11, chain_log=11, search_log=3, min_match=least_match, target_length=16,
         strategy=zstandard.STRATEGY_LAZY2, write_content_size=False, write_checksum=False, write_dict_id=False,
     )
     return zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(dictionary), compression_params=settings)
 
 
-def windows(data: bytes, size: int = WINDOW) -> list[bytes]:
+def windows(data: bytes, size: int) -> list[bytes]:
     """The whole text in windows of at most ``size`` bytes, cut at blanks where there are any."""
     out, at, n = [], 0, len(data)
     while n - at > size:
@@ -95,16 +98,25 @@ def windows(data: bytes, size: int = WINDOW) -> list[bytes]:
     return out
 
 
-def differences(data: bytes, ordinary, toxic) -> np.ndarray:
+def differences(data: bytes, size: int, ordinary, toxic) -> np.ndarray:
     """Bytes that the toxic dictionary saves against the ordinary one, window by window."""
     a, b = ordinary.compress, toxic.compress
-    return np.array([len(a(w)) - len(b(w)) for w in windows(data)], dtype=np.int32)
+    return np.array([len(a(w)) - len(b(w)) for w in windows(data, size)], dtype=np.int32)
+
+
+def _pairs(books: list[list[bytes]]) -> list[tuple]:
+    """Window size and the two compressors of each setting."""
+    return [(size, _compressor(a, match), _compressor(b, match)) for (size, _, match), (a, b) in zip(SETTINGS, books)]
 
 
-def _features(d: np.ndarray) -> np.ndarray:
-    n = len(d)
-    over = [(d >= t).sum() for t in THRESHOLDS]
-    return np.array([d.mean(), d.max(), *[k / n for k in over], *[np.log1p(k) for k in over], np.log1p(n)])
+def _features(data: bytes, pairs: list[tuple]) -> np.ndarray:
+    out = []
+    for size, ordinary, toxic in pairs:
+        d = differences(data, size, ordinary, toxic)
+        n = len(d)
+        over = [(d >= t).sum() for t in THRESHOLDS]
+        out += [d.mean(), d.max(), *[k / n for k in over], *[np.log1p(k) for k in over], np.log1p(n)]
+    return np.array(out)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, rounds: int = 30) -> np.ndarray:
@@ -123,7 +135,16 @@ def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, rounds: int =
     return beta
 
 
-def fit(sample: pd.DataFrame, toxic_share: float, dictionary_bytes: int = 1024) -> dict:
+def _threshold(z: np.ndarray, y: np.ndarray, share: float) -> float:
+    """The score with the best balance of precision and recall at the true class shares."""
+    order = np.argsort(-z)
+    hit = np.cumsum(y[order]) / max(y.sum(), 1) * share
+    wrong = np.cumsum(1 - y[order]) / max((1 - y).sum(), 1) * (1 - share)
+    best = 2 * hit / (hit + wrong + share)
+    return float(np.clip(z[order][int(np.argmax(best))] - 1e-9, -3.0, 3.0))
+
+
+def fit(sample: pd.DataFrame, toxic_share: float) -> dict:
     """Model of a bounded sample with columns text and toxic."""
     texts, y = [_plain(t) for t in sample["text"]], sample["toxic"].to_numpy().astype(int)
     model = {"prior": float(toxic_share)}
@@ -138,33 +159,39 @@ def fit(sample: pd.DataFrame, toxic_share: float, dictionary_bytes: int = 1024)
         1: _marks(shares[1], len(own[1]), shares[0], len(own[0]), 0.012, 10.0),
         0: _marks(shares[0], len(own[0]), shares[1], len(own[1]), 0.003, 2.0),
     }
-    books = {c: _dictionary([r for t in own[c] for r in _runs(t, marks[c])], dictionary_bytes) for c in own}
-    pair = _compressor(books[0]), _compressor(books[1])
+    runs = [[r for t in own[c] for r in _runs(t, marks[c])] for c in (0, 1)]
+    books = [[_dictionary(r, size) for r in runs] for _, size, _ in SETTINGS]
+    pairs = _pairs(books)
     if not turn.any() or len(set(y[turn])) < 2:
         turn[:] = True
-    x = np.array([_features(differences(t, *pair)) for t, held in zip(texts, turn) if held])
+    x = np.array([_features(t, pairs) for t, held in zip(texts, turn) if held])
     mean, spread = x.mean(0), x.std(0) + 1e-9
     beta = _logistic((x - mean) / spread, y[turn])
     share = min(max(toxic_share, 1e-6), 1 - 1e-6)
-    beta[0] += np.log(share / (1 - share))
-    return model | {"books": [b.hex() for b in (books[0], books[1])], "mean": mean.tolist(), "spread": spread.tolist(), "beta": beta.tolist()}
+    beta[0] += np.log(share / (1 - share)) - _threshold(beta[0] + np.log(share / (1 - share)) + ((x - mean) / spread) @ beta[1:], y[turn], share)
+    return model | {"books": [[b.hex() for b in pair] for pair in books], "mean": mean.tolist(), "spread": spread.tolist(), "beta": beta.tolist()}
 
 
-def learn(labelled: DataFrame, rows_per_class: int = 4_000) -> dict:
-    """Fit on at most ``rows_per_class`` rows of each class, those with the smallest hash of their text.
+def learn(documents: DataFrame, labels: DataFrame, rows_per_class: int = 4_000) -> dict:
+    """Fit on at most ``rows_per_class`` rows of each class, those with the smallest hashes of id and text.
 
-    ``labelled`` has text and toxic (0 or 1). The class shares are counted over all its rows.
+    ``labels`` has doc_id and toxic (0 or 1), ``documents`` doc_id and text. The class shares are counted over all
+    labels. Ids are drawn from the labels first, so only the drawn texts leave the scan.
     """
-    rows = labelled.where(F.col("toxic").isin(0, 1)).select(F.coalesce("text", F.lit("")).alias("text"), F.col("toxic").cast("int").alias("toxic"))
-    n, toxic = rows.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    drawn = [rows.where(F.col("toxic") == c).orderBy(F.xxhash64("text", F.lit(17)), "text").limit(rows_per_class) for c in (0, 1)]
+    known = labels.where("doc_id is not null").where(F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    n, toxic = known.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     share = toxic / n if n else 0.0
+    mark = F.xxhash64("doc_id", F.lit(17))
+    drawn = [known.where(F.col("toxic") == c).orderBy(mark, "doc_id").limit(rows_per_class) for c in (0, 1)]
+    drawn = session.stage(drawn[0].unionByName(drawn[1]), "drawn")
+    rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(drawn), "doc_id")  # at most 2 * rows_per_class ids
+    sample = [rows.where(F.col("toxic") == c).orderBy(mark, F.xxhash64("text"), "text").limit(rows_per_class).select("text", "toxic") for c in (0, 1)]
 
     def one(frame: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"model": [json.dumps(fit(frame, share))]})
 
-    sample = drawn[0].unionByName(drawn[1])
-    got = sample.withColumn("one", F.lit(1)).groupBy("one").applyInPandas(one, "model string").first()
+    both = sample[0].unionByName(sample[1]).withColumn("one", F.lit(1))
+    got = both.groupBy("one").applyInPandas(one, "model string").first()
     return json.loads(got["model"]) if got else {"prior": share}
 
 
@@ -172,13 +199,13 @@ def score(documents: DataFrame, model: dict, keep: list[str], with_text: bool =
     """Columns ``keep`` with the score (0 to 1; column ``name``) of every whole text, and the text itself on request."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair = [_compressor(bytes.fromhex(b)) for b in model["books"]] if "books" in model else None
-        if pair:
+        pairs = _pairs([[bytes.fromhex(b) for b in pair] for pair in model["books"]]) if "books" in model else None
+        if pairs:
             mean, spread, beta = (np.array(model[k]) for k in ("mean", "spread", "beta"))
         for batch in batches:
             at = batch.schema.get_field_index("text")
-            if pair:
-                x = [_features(differences(_plain(t.as_py()), *pair)) for t in batch.column(at)]
+            if pairs:
+                x = [_features(_plain(t.as_py()), pairs) for t in batch.column(at)]
                 z = beta[0] + ((np.array(x).reshape(-1, len(mean)) - mean) / spread) @ beta[1:]
                 p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
             else:
