@@ -179,7 +179,7 @@ def count_words(documents: DataFrame, learn: str, size: int = 8 << 20) -> DataFr
     return rows.mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
 
 
-def score(documents: DataFrame, learn: str, mu: float = 4.0, tokens_per_shard: int = 2_500_000, block_bytes: int = 4 << 20) -> DataFrame:
+def score(documents: DataFrame, learn: str, mu: float = 4.0, tokens_per_shard: int = 1_500_000, block_bytes: int = 4 << 20) -> DataFrame:
     """Train on rows where ``learn`` (SQL on the columns of ``documents``) holds and score all rows.
 
     Returns doc_id, learnt, n_tokens, n_known, train_tokens, base_score, score, one row for each input row.
@@ -266,12 +266,15 @@ def _shard(common: dict):
             return pd.DataFrame({"block": frame["block"], "kind": 0, "payload": frame["payload"]})
         parts = [_read(x) for x in frame["payload"]]
         context, word, learnt = (np.concatenate([p[k] for p in parts]) for k in (0, 1, 3))
+        begins = context == BEGIN
         order = np.lexsort((word, context))
         c, w, t = context[order], word[order], learnt[order]
+        del context, word, learnt
         new = np.ones(len(c), bool)
         new[1:] = (c[1:] != c[:-1]) | (w[1:] != w[:-1])
         pair = np.cumsum(new) - 1
         uc, uw = c[new], w[new]
+        del c, w, new
         n = np.bincount(pair, t)  # training occurrences of each pair
         starts = np.flatnonzero(np.append(True, uc[1:] != uc[:-1])) if len(uc) else np.zeros(0, np.int64)
         own = np.add.reduceat(n, starts) if len(starts) else np.zeros(0)
@@ -292,14 +295,13 @@ def _shard(common: dict):
         answer[order] = np.where(np.isnan(log_seen), rest, log_seen)[pair]
         count = np.empty(len(order))
         count[order] = total[group][pair]
-        begins = context == BEGIN
         base = np.where(begins, 0.0, np.log10(count + 1))
         known = (count > 0) & ~begins
         out, at = [], 0
         for p in parts:
             doc, to = p[2], at + len(p[2])
             docs, index = np.unique(doc, return_inverse=True)
-            blob = [np.array([len(docs)], np.int64).tobytes(), np.bincount(index, answer[at:to]).tobytes(), np.bincount(index, base[at:to]).tobytes(), np.bincount(index, known[at:to]).astype(np.int32).tobytes(), docs.astype(np.uint16).tobytes()]
+            blob = [np.array([len(docs)], np.int64).tobytes(), *[np.bincount(index, x[at:to]).astype(t).tobytes() for x, t in ((answer, np.float32), (base, np.float32), (known, np.int32))], docs.astype(np.uint16).tobytes()]
             out.append(b"".join(blob))
             at = to
         return pd.DataFrame({"block": frame["block"], "kind": 1, "payload": out})
@@ -323,10 +325,10 @@ def _total(common: dict):
         score, base, known = np.zeros(docs), np.zeros(docs), np.zeros(docs)
         for blob in frame.loc[frame["kind"] == 1, "payload"]:
             k = int(np.frombuffer(blob, np.int64, 1)[0])
-            doc = np.frombuffer(blob, np.uint16, k, 8 + 20 * k)
-            score[doc] += np.frombuffer(blob, np.float64, k, 8)
-            base[doc] += np.frombuffer(blob, np.float64, k, 8 + 8 * k)
-            known[doc] += np.frombuffer(blob, np.int32, k, 8 + 16 * k)
+            doc = np.frombuffer(blob, np.uint16, k, 8 + 12 * k)
+            score[doc] += np.frombuffer(blob, np.float32, k, 8)
+            base[doc] += np.frombuffer(blob, np.float32, k, 8 + 4 * k)
+            known[doc] += np.frombuffer(blob, np.int32, k, 8 + 8 * k)
         base += math.log10(common["ends"] + 1) - meta[3] * math.log10(n_all + v_all + 1)
         known += common["ends"] > 0
         ids = pd.array(meta[0], dtype="Int64")
