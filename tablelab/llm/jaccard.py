@@ -8,8 +8,9 @@ whatever common order. With l = ceil(n / 5):
 1. Each text gives that many n-grams of smallest hash; counted over all texts, n-grams of one set only are
    dropped, and so are sets with fewer than l others left: they cannot have a link.
 2. Of the rest, all but the l - 1 most frequent n-grams are the non-zeros of the matrix.
-3. In every column the most typical set (the one with the highest counts) is the centre; all sets of the
-   column that pass the bounds are verified against it. This ties groups of copies together by few pairs.
+3. In every column the most typical set (the one with the highest counts) is a centre; overlaps with centres
+   are accumulated over the columns, and each set is verified against the centre of its largest overlap. This
+   ties groups of copies together by few pairs.
 4. All pairs of a column that step 3 has not put into one component are compared in blocks: the symmetric
    difference of two sets is at least the number of differing bits of their parity bitmaps, which discards
    nearly all pairs below the bound; the others are verified on the whole sets.
@@ -110,7 +111,8 @@ def candidates(documents: DataFrame, size: int, bounds: Bounds, buckets: int) ->
                 once = np.zeros(len(n), bool)
                 once[first] = True
                 take = np.where(once & (n > 0), bounds.first(n), 0)
-                grams, owner = h[_firsts(at, take)], np.repeat(np.arange(len(n), dtype=np.uint16), take)
+                # six bytes are enough to find candidates; links are verified on whole hashes
+                grams, owner = h[_firsts(at, take)] >> U64(16), np.repeat(np.arange(len(n), dtype=np.uint16), take)
                 bucket = ((grams ^ (grams >> U64(29))) % U64(buckets)).astype(np.int32)
                 order = np.lexsort((grams, bucket))
                 grams, owner, bucket = grams[order], owner[order], bucket[order]
@@ -119,7 +121,8 @@ def candidates(documents: DataFrame, size: int, bounds: Bounds, buckets: int) ->
                 for a, b in zip(i, [*i[1:], len(bucket)]):
                     used, local = np.unique(owner[a:b], return_inverse=True)
                     head = np.array([len(used), b - a], np.int64).tobytes()
-                    out.append(head + sig[used].tobytes() + n[used].astype(np.int64).tobytes() + grams[a:b].tobytes() + local.astype(np.uint16).tobytes())
+                    cut6 = np.ascontiguousarray(grams[a:b]).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+                    out.append(head + sig[used].tobytes() + n[used].astype(np.int64).tobytes() + cut6 + local.astype(np.uint16).tobytes())
                 yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(out, pa.binary())], names=["bucket", "payload"])
 
     def count(frame: pd.DataFrame) -> pd.DataFrame:
@@ -128,9 +131,10 @@ def candidates(documents: DataFrame, size: int, bounds: Bounds, buckets: int) ->
             docs, k = np.frombuffer(blob, np.int64, 2)
             sig = np.frombuffer(blob, U64, docs, 16)
             n = np.frombuffer(blob, np.int64, docs, 16 + 8 * docs)
-            grams = np.frombuffer(blob, U64, k, 16 + 16 * docs)
-            local = np.frombuffer(blob, np.uint16, k, 16 + 16 * docs + 8 * k)
-            parts.append((grams, sig[local], n[local]))
+            wide = np.zeros((k, 8), np.uint8)
+            wide[:, :6] = np.frombuffer(blob, np.uint8, 6 * k, 16 + 16 * docs).reshape(k, 6)
+            local = np.frombuffer(blob, np.uint16, k, 16 + 16 * docs + 6 * k)
+            parts.append((wide.view(U64).reshape(k), sig[local], n[local]))
         h, sig, n = (np.concatenate([p[i] for p in parts]) for i in range(3))
         order = np.lexsort((sig, h))
         h, sig, n = h[order], sig[order], n[order]
@@ -164,8 +168,8 @@ def candidates(documents: DataFrame, size: int, bounds: Bounds, buckets: int) ->
 
 
 def _sieve(found: DataFrame, log_bits: int = 24) -> bytes:
-    """A bitmap of fixed size with the bit of every sig set."""
-    slot = F.pmod(F.col("sig"), F.lit(1 << log_bits))
+    """A bitmap of fixed size with the bit of every pair of sig and doc_id set."""
+    slot = F.pmod(F.col("sig").bitwiseXOR(F.coalesce("doc_id", F.lit(0))), F.lit(1 << log_bits))
     rows = found.select((slot / 32768).cast("int").alias("page"), F.pmod(slot, F.lit(32768)).alias("bit"))
     pages = rows.groupBy("page").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()
     out = bytearray(1 << log_bits - 3)
@@ -180,27 +184,31 @@ def _parity(h: np.ndarray, bits: int) -> np.ndarray:
 
 
 def _bits_for(n: int) -> int:
-    return max(64, 1 << int(4 * n - 1).bit_length())
+    return max(64, 1 << int(n - 1).bit_length())
 
 
-def whole_sets(documents: DataFrame, found: DataFrame, size: int) -> DataFrame:
-    """sig, n, grams (binary, sorted), parity (binary) of the sets in ``found``; stored."""
-    sieve = np.frombuffer(_sieve(found), np.uint8)
+def whole_sets(documents: DataFrame, rows: DataFrame, found: DataFrame, size: int) -> DataFrame:
+    """sig, n, members (binary, sorted), parity (binary) of the sets in ``found``; stored.
+
+    One document stands for all its copies. The bitmap lets few other rows through, which repeat a set at worst.
+    """
+    keepers = rows.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("doc_id")).join(found.select("sig"), "sig")
+    sieve = np.frombuffer(_sieve(keepers), np.uint8)
     slots = U64(8 * len(sieve))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in words.blocks(batches, "text", BLOCK_BYTES):
-            h, at, sig = _sets(block.column(0), size)
-            slot = (sig % slots).astype(np.int64)
+            h, at, sig = _sets(block.column(1), size)
+            ids = block.column(0).fill_null(0).to_numpy(zero_copy_only=False).view(U64)
+            slot = ((sig ^ ids) % slots).astype(np.int64)
             passed = np.flatnonzero((sig != 0) & ((sieve[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0))
             _, first = np.unique(sig[passed], return_index=True)
             own = [h[at[i] : at[i + 1]] for i in passed[first]]
             columns = [sig[passed[first]].view(np.int64), [len(x) for x in own], [x.tobytes() for x in own], [_parity(x, _bits_for(len(x))).tobytes() for x in own]]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.int64(), pa.int64(), pa.binary(), pa.binary()])], names=["sig", "n", "members", "parity"])
 
-    rows = documents.select(F.coalesce("text", F.lit("")).alias("text"))
-    sets = rows.mapInArrow(run, "sig long, n long, members binary, parity binary")
-    return session.stage(sets.join(found.select("sig"), "sig", "left_semi").dropDuplicates(["sig"]), "sets")
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    return session.stage(texts.mapInArrow(run, "sig long, n long, members binary, parity binary"), "sets")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, bounds: Bounds) -> DataFrame:
@@ -217,71 +225,90 @@ def verified(pairs: DataFrame, sets: DataFrame, bounds: Bounds) -> DataFrame:
                     out.append((a, b, shared))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64()) for i in range(3)], names=["a", "b", "shared"])
 
-    left = sets.select(F.col("sig").alias("a"), F.col("members").alias("x"))
-    right = sets.select(F.col("sig").alias("b"), F.col("members").alias("y"))
+    # at most 2**18 slots of hashed vertices go to all tasks, to leave out other sets before the shuffle
+    slot = lambda c: F.pmod(F.col(c), F.lit(1 << 18))
+    slots = pairs.select(F.explode(F.array("a", "b")).alias("v")).select(slot("v").alias("slot")).distinct()
+    asked = sets.withColumn("slot", slot("sig")).join(F.broadcast(slots), "slot", "left_semi")
+    left = asked.select(F.col("sig").alias("a"), F.col("members").alias("x"))
+    right = asked.select(F.col("sig").alias("b"), F.col("members").alias("y"))
     rows = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y")
     return rows.mapInArrow(run, "a long, b long, shared long")
 
 
+def _spread(found: DataFrame) -> int:
+    """Number of groups that keeps a group of cells small, whatever the input."""
+    entries = found.agg(F.coalesce(F.sum(F.size("grams")), F.lit(0))).first()[0]
+    return max(int(found.sparkSession.conf.get("spark.sql.shuffle.partitions")), entries // 200_000)
+
+
 def _centre_pairs(found: DataFrame, bounds: Bounds) -> DataFrame:
-    """Each set with the most typical set of its columns: a, b."""
+    """Each set with the one centre (the most typical set of a column) that it shares most columns with: a, b."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        h, sig, n, typical = (frame[c].to_numpy() for c in ("h", "sig", "n", "typical"))
+        order = np.lexsort((sig, -typical, h))
+        h, sig, n = h[order], sig[order], n[order]
+        first = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+        lead = np.repeat(first, np.diff(np.append(first, len(h))))
+        a, b = sig, sig[lead]
+        ok = (a != b) & (100 * np.minimum(n, n[lead]) >= bounds.percent * np.maximum(n, n[lead]))
+        pairs = pd.DataFrame({"a": a[ok], "b": b[ok]})
+        return pairs.groupby(["a", "b"], as_index=False).size().rename(columns={"size": "overlap"})
+
     cells = found.select("sig", "n", (F.col("typical") / F.col("n")).alias("typical"), F.explode("grams.h").alias("h"))
-    centre = cells.groupBy("h").agg(F.max("typical").alias("typical"))
-    best = cells.join(centre, ["h", "typical"]).groupBy("h").agg(F.min("sig").alias("centre"), F.count("*").alias("ties"))
-    sized = best.join(found.select(F.col("sig").alias("centre"), F.col("n").alias("m")), "centre")
-    pairs = cells.join(sized, "h").where("sig != centre").where((100 * F.least("n", "m") >= bounds.percent * F.greatest("n", "m")))
-    return pairs.groupBy(F.col("sig").alias("a"), F.col("centre").alias("b")).agg(F.count("*").alias("overlap"))
+    cells = cells.withColumn("task", F.pmod(F.xxhash64("h"), F.lit(_spread(found))))
+    pairs = cells.groupBy("task").applyInPandas(run, "a long, b long, overlap long").groupBy("a", "b").agg(F.sum("overlap").alias("overlap"))
+    pairs = session.stage(pairs, "centres")
+    most = pairs.groupBy("a").agg(F.max("overlap").alias("overlap"))
+    return pairs.join(most, ["a", "overlap"]).groupBy("a").agg(F.min("b").alias("b"))
 
 
 def _other_pairs(found: DataFrame, sets: DataFrame, label: DataFrame, bounds: Bounds, rows_per_block: int = 4096) -> DataFrame:
     """Pairs of one column in different components whose parity bitmaps do not rule a link out: a, b."""
-    rows = found.join(sets.select("sig", "parity"), "sig").join(label, "sig", "left").select("sig", "n", "parity", F.coalesce("component", "sig").alias("component"), F.explode("grams").alias("g"))
-    rows = rows.select("sig", "n", "parity", "component", F.col("g.h").alias("h"), F.ceil(F.col("g.df") / rows_per_block).alias("parts"))
+    rows = found.join(label, "sig", "left").select("sig", F.coalesce("component", "sig").alias("component"), F.explode("grams").alias("g"))
+    rows = rows.select("sig", "component", F.col("g.h").alias("h"), F.ceil(F.col("g.df") / rows_per_block).alias("parts"))
     rows = rows.withColumn("own", F.pmod(F.xxhash64("sig", F.lit(3)), F.col("parts")))
     # a column of p blocks is p * (p + 1) / 2 cells; a row goes to the cells of its block
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-    rows = rows.withColumn("cell", F.xxhash64("h", F.least("own", "other"), F.greatest("own", "other")))
-    several = rows.groupBy("cell").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("cell")
-    rows = rows.join(several, "cell", "left_semi")
+    rows = rows.select("sig", "component", F.xxhash64("h", F.least("own", "other"), F.greatest("own", "other")).alias("cell"))
+    several = rows.groupBy("cell").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.bit_xor("sig").alias("members"), F.bit_xor(F.xxhash64("sig")).alias("again"), F.count("*").alias("k"))
+    # columns with the same members are compared once
+    several = several.where("x != y").groupBy("members", "again", "k").agg(F.min("cell").alias("cell")).select("cell")
+    rows = session.stage(rows.join(several, "cell", "left_semi"), "cells")
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for _, cell in frame.groupby("cell", sort=False):
-            out.append(_sift(cell.drop_duplicates("sig"), bounds))
-        return pd.concat(out) if out else pd.DataFrame({"a": [], "b": []})
+        out = [_sift(cell.drop_duplicates("sig"), bounds) for _, cell in frame.groupby("cell", sort=False)]
+        return pd.concat(out).drop_duplicates() if out else pd.DataFrame({"a": [], "b": []})
 
-    entries = found.agg(F.coalesce(F.sum(F.size("grams")), F.lit(0))).first()[0]
-    spread = max(int(found.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 4, entries // 200_000)
-    rows = rows.withColumn("task", F.pmod(F.col("cell"), F.lit(spread))).select("task", "cell", "sig", "n", "parity", "component", "own")
+    rows = rows.join(sets.select("sig", "n", "parity"), "sig").withColumn("task", F.pmod(F.col("cell"), F.lit(_spread(found))))
     return rows.groupBy("task").applyInPandas(run, "a long, b long").distinct()
 
 
-def _sift(cell: pd.DataFrame, bounds: Bounds) -> pd.DataFrame:
-    sig, n, comp, own = (cell[c].to_numpy(np.int64) for c in ("sig", "n", "component", "own"))
+def _sift(cell: pd.DataFrame, bounds: Bounds, step: int = 64) -> pd.DataFrame:
+    """Pairs of a cell in different components that sizes and parity bitmaps let through."""
+    sig, n, comp = (cell[c].to_numpy(np.int64) for c in ("sig", "n", "component"))
     order = np.argsort(n, kind="stable")
-    sig, n, comp, own = sig[order], n[order], comp[order], own[order]
-    maps = [np.frombuffer(cell["parity"].iloc[i], np.uint8) for i in order]
-    found_a, found_b = [], []
+    sig, n, comp = sig[order], n[order], comp[order]
+    maps = [cell["parity"].iloc[i] for i in order]
     lengths = np.array([len(m) for m in maps])
-    for width in np.unique(lengths):  # partners' bitmaps are as long, or fold to this length
-        base = np.flatnonzero(lengths == width)
-        wide = base[-1] + 1 + np.flatnonzero(lengths[base[-1] + 1 :] == 2 * width)
-        grid = np.stack([maps[i] for i in base])
-        more = np.stack([maps[i][:width] ^ maps[i][width:] for i in wide]) if len(wide) else np.zeros((0, width), np.uint8)
-        both, index = np.concatenate([grid, more]), np.concatenate([base, wide])
-        both64, size = both.view(U64).reshape(len(both), -1), n[index]
-        for i in range(len(base)):
-            to = int(np.searchsorted(size, size[i] * 100 // bounds.percent, side="right"))
-            if to <= i + 1:
-                continue
-            rest = slice(i + 1, to)
-            other = comp[index[rest]] != comp[index[i]]
-            at = np.flatnonzero(other) + i + 1
-            if not len(at):
-                continue
-            differ = np.bitwise_count(both64[at] ^ both64[i]).sum(1)
-            ok = at[differ <= bounds.most_different(size[i], size[at])]
-            found_a.append(np.full(len(ok), sig[index[i]])), found_b.append(sig[index[ok]])
+    found_a, found_b = [], []
+    for width in np.unique(lengths):  # a partner's bitmap has this length, or folds to it
+        base, wide = np.flatnonzero(lengths == width), np.flatnonzero(lengths == 2 * width)
+        grid = np.frombuffer(b"".join(maps[i] for i in base), np.uint8).reshape(len(base), width)
+        more = np.frombuffer(b"".join(maps[i] for i in wide), np.uint8).reshape(len(wide), 2 * width)
+        both = np.concatenate([grid, more[:, :width] ^ more[:, width:]]).view(U64)
+        index = np.concatenate([base, wide])
+        size, who = n[index], comp[index]
+        for lo in range(0, len(base), step):
+            hi = min(lo + step, len(base))
+            to = int(np.searchsorted(size, size[hi - 1] * 100 // bounds.percent, side="right"))
+            differ = np.bitwise_count(both[lo:hi, None, :] ^ both[None, lo:to, :]).sum(2, dtype=np.int64)
+            ok = differ <= bounds.most_different(size[lo:hi, None], size[None, lo:to])
+            ok &= who[lo:hi, None] != who[None, lo:to]
+            ok &= bounds.percent * size[None, lo:to] <= 100 * size[lo:hi, None]
+            ok &= np.arange(hi - lo)[:, None] < np.arange(to - lo)[None, :]
+            i, j = np.nonzero(ok)
+            found_a.append(sig[index[lo + i]]), found_b.append(sig[index[lo + j]])
     a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (found_a, found_b))
     return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
@@ -294,10 +321,10 @@ def links(documents: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataF
     grams = rows.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
     buckets = max(buckets, grams // 4_000_000)
     found = candidates(documents, size, bounds, buckets)
-    sets = whole_sets(documents, found, size)
-    near = session.stage(verified(_centre_pairs(found, bounds), sets, bounds).select("a", "b"), "near")
+    sets = whole_sets(documents, rows, found, size)
+    near = session.stage(verified(session.stage(_centre_pairs(found, bounds), "centres"), sets, bounds).select("a", "b"), "near")
     label = components(near, "a", "b").select(F.col("id").alias("sig"), "component")
-    rest = session.stage(verified(_other_pairs(found, sets, label, bounds), sets, bounds).select("a", "b"), "near")
+    rest = session.stage(verified(session.stage(_other_pairs(found, sets, label, bounds), "others"), sets, bounds).select("a", "b"), "near")
     return rows, near.unionByName(rest)
 
 
