@@ -113,7 +113,7 @@ def with_next(rows: DataFrame) -> DataFrame:
     heads = sliced.groupBy("slice").agg(F.max("doc_id").alias("head"))
     order = Window.orderBy(F.col("slice").desc())
     heads = heads.select("slice", F.coalesce(F.lead("head").over(order), F.max("head").over(Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("after"))
-    heads = heads.join(rows.where("doc_id is not null").select(F.col("doc_id").alias("after"), F.coalesce("text", F.lit("")).alias("after_text")), "after")
+    heads = F.broadcast(heads).join(rows.where("doc_id is not null").select(F.col("doc_id").alias("after"), F.coalesce("text", F.lit("")).alias("after_text")), "after")
     heads = session.stage(heads, "heads")
     down = Window.partitionBy("slice").orderBy(F.col("doc_id").desc())
     led = sliced.select("*", F.lead("doc_id").over(down).alias("next_id"), F.lead("text").over(down).alias("next_text"))
