@@ -184,7 +184,7 @@ def _parity(h: np.ndarray, bits: int) -> np.ndarray:
 
 
 def _bits_for(n: int) -> int:
-    return max(64, 1 << int(n - 1).bit_length())
+    return max(64, 1 << int(8 * n - 1).bit_length())
 
 
 def whole_sets(documents: DataFrame, rows: DataFrame, found: DataFrame, size: int) -> DataFrame:
@@ -235,10 +235,10 @@ def verified(pairs: DataFrame, sets: DataFrame, bounds: Bounds) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long, shared long")
 
 
-def _spread(found: DataFrame) -> int:
+def _spread(found: DataFrame, entries_per_task: int = 200_000) -> int:
     """Number of groups that keeps a group of cells small, whatever the input."""
     entries = found.agg(F.coalesce(F.sum(F.size("grams")), F.lit(0))).first()[0]
-    return max(int(found.sparkSession.conf.get("spark.sql.shuffle.partitions")), entries // 200_000)
+    return max(int(found.sparkSession.conf.get("spark.sql.shuffle.partitions")), entries // entries_per_task)
 
 
 def _centre_pairs(found: DataFrame, bounds: Bounds) -> DataFrame:
@@ -280,7 +280,7 @@ def _other_pairs(found: DataFrame, sets: DataFrame, label: DataFrame, bounds: Bo
         out = [_sift(cell.drop_duplicates("sig"), bounds) for _, cell in frame.groupby("cell", sort=False)]
         return pd.concat(out).drop_duplicates() if out else pd.DataFrame({"a": [], "b": []})
 
-    rows = rows.join(sets.select("sig", "n", "parity"), "sig").withColumn("task", F.pmod(F.col("cell"), F.lit(_spread(found))))
+    rows = rows.join(sets.select("sig", "n", "parity"), "sig").withColumn("task", F.pmod(F.col("cell"), F.lit(_spread(found, 20_000))))
     return rows.groupBy("task").applyInPandas(run, "a long, b long").distinct()
 
 
