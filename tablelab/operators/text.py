@@ -17,20 +17,11 @@ from .relational import count_by, long_from_wide
 ENGLISH_STOP_WORDS = (
     "a about above after again all also am an and any are as at be because been before being below between both but by "
     "can could did do does down during each few for from further had has have having he her here hers him his how i if in "
-    "into is it its just me more most my no nor not now of off on once only or other our out over own same she so some "
+    "into is it its just me more most my no nor not now of off on once only or other ought our out over own same she so some "
     "such than that the their them then there these they this those through to too under until up very was we were what "
     "when where which while who whom why will with would you your"
 ).split()
 
-# Words that only reflect the discussion site the comments come from.
-SITE_STOP_WORDS = (
-    "put far bit well article articles edit edits page pages talk editor ax edu subject lines like likes line uh oh get hi "
-    "hello ok editing edited dont use need take wikipedia give say look one make come see said know read hey time still user "
-    "day want tell even wow image jpg copyright sentence wikiproject align px pixel org com en ip http www html htm "
-    "wikimedia https httpimg url urls utc uhm username wiki articl ani"
-).split()
-
-
 def word_list(spark, words: Sequence[str]) -> DataFrame:
     return spark.createDataFrame([(w,) for w in words], "token string")
 
@@ -120,16 +111,17 @@ def style_features(df: DataFrame, key: str, text: str, ascii: bool = True) -> Da
 
 def vocabulary(
     rows: DataFrame, key: str, documents: Column | int, stop: DataFrame | None = None,
-    min_count: int = 4, max_share: float = 0.3, max_terms: int = 10_000,
+    min_count: int = 4, max_share: float = 0.3, max_terms: int | None = None,
 ) -> DataFrame:
-    """``token, term_count, doc_count`` after pruning, the most frequent ``max_terms``."""
+    """``token, term_count, doc_count`` after pruning; only the most frequent ``max_terms`` if given."""
     if stop is not None:
         rows = rows.join(stop, "token", "left_anti")
     per_doc = rows.groupBy(key, "token").agg(F.count("*").alias("tf"))
     terms = per_doc.groupBy("token").agg(F.sum("tf").alias("term_count"), F.count("*").alias("doc_count"))
     n = documents if isinstance(documents, Column) else F.lit(documents)
     kept = terms.filter((F.col("term_count") >= min_count) & (F.col("doc_count") / n <= max_share))
-    return kept.orderBy(F.col("term_count").desc(), "token").limit(max_terms)
+    ordered = kept.orderBy(F.col("term_count").desc(), "token")
+    return ordered if max_terms is None else ordered.limit(max_terms)
 
 
 def term_matrix(docs: DataFrame, rows: DataFrame, key: str, vocab: DataFrame) -> DataFrame:
@@ -142,8 +134,10 @@ def term_matrix(docs: DataFrame, rows: DataFrame, key: str, vocab: DataFrame) ->
 
 
 def term_vectors(docs: DataFrame, rows: DataFrame, key: str, vocab: DataFrame, max_terms: int = 10_000) -> DataFrame:
-    """Sparse vector form of the matrix. The pruned vocabulary (at most ``max_terms``) is model metadata."""
-    terms = [r["token"] for r in vocab.select("token").limit(max_terms).collect()]
+    """Sparse vector form of the matrix. The vocabulary is model metadata, so more than ``max_terms`` are refused."""
+    terms = [r["token"] for r in vocab.select("token").limit(max_terms + 1).collect()]
+    if len(terms) > max_terms:
+        raise ValueError(f"the vocabulary has more than {max_terms} terms: prune it, or use term_matrix")
     kept = rows.join(vocab.select("token"), "token", "left_semi")
     words = docs.select(key).join(regroup(kept, key), key, "left")
     words = words.withColumn("words", F.coalesce("words", F.array().cast("array<string>")))

@@ -30,7 +30,7 @@ def _rows(spark, sf):
 
 
 def _stop(spark, sf, counts):
-    return T.stop_words(counts, [T.word_list(spark, T.ENGLISH_STOP_WORDS), T.word_list(spark, T.SITE_STOP_WORDS)])
+    return T.stop_words(counts, [T.word_list(spark, T.ENGLISH_STOP_WORDS)])
 
 
 def _clean(spark, sf):
@@ -39,7 +39,7 @@ def _clean(spark, sf):
     return T.clean_rows(rows, _stop(spark, sf, counts), counts)
 
 
-_LISTED = ", ".join(f"('{w}')" for w in sorted(set(T.ENGLISH_STOP_WORDS) | set(T.SITE_STOP_WORDS)))
+_LISTED = ", ".join(f"('{w}')" for w in sorted(set(T.ENGLISH_STOP_WORDS)))
 _TOKENS = f"""{X.COMMENTS_SQL},
 pieces AS (SELECT id, regexp_split_to_array(
   regexp_replace(comment_text, '[^\\p{{L}}\\p{{M}}\\p{{Nl}}\\p{{Nd}}]', ' ', 'g'), '[^A-Za-z0-9_]+') AS ws FROM comments),
@@ -172,9 +172,9 @@ def _vocab(spark, sf, staged=True):
     docs, rows = X.comments(spark, sf), _rows(spark, sf)
     if staged:
         rows = stage(rows, "tokens")  # for queries that read the tokens more than once
-    listed = T.word_list(spark, sorted(set(T.ENGLISH_STOP_WORDS) | set(T.SITE_STOP_WORDS)))
+    listed = T.word_list(spark, sorted(set(T.ENGLISH_STOP_WORDS)))
     total = load(spark, sf, "documents").agg(F.count("*").alias("n")).scalar()
-    return docs, rows, T.vocabulary(rows, "id", total, listed)
+    return docs, rows, T.vocabulary(rows, "id", total, listed, max_terms=10_000)
 
 
 @register(f"WITH {_VOCAB} SELECT * FROM vocab")

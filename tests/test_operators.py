@@ -430,7 +430,7 @@ def test_frequency_index(spark):
     assert {r["t"]: r["i"] for r in features.frequency_index(df, "t", "i").collect()} == {"b": 0, "a": 1, "c": 2}
 
 
-def test_batches_and_plain_arithmetic_agree(spark):
+def test_nearest_centre(spark):
     rnd = random.Random(1)
     centres = [[rnd.random() for _ in range(4)] for _ in range(60)]
     df = spark.createDataFrame([[rnd.random() for _ in range(4)] for _ in range(200)], "a double, b double, c double, d double")
@@ -439,8 +439,21 @@ def test_batches_and_plain_arithmetic_agree(spark):
     for r in big:
         ds = [sum((x - y) ** 2 for x, y in zip((r["a"], r["b"], r["c"], r["d"]), c)) for c in centres]
         assert ds[r["cluster"]] == pytest.approx(min(ds)) and r["sqdist"] == pytest.approx(min(ds))
-    small = anomaly.assign_nearest(df, cols, centres[:5]).first()
-    assert 0 <= small["cluster"] < 5
+
+
+def test_nearest_centre_of_large_coordinates_does_not_depend_on_their_number(spark):
+    df = spark.createDataFrame([(1e8 + 0.9, 1e8)], "a double, b double")
+    cols, near = [F.col("a"), F.col("b")], [[1e8, 1e8], [1e8 + 1, 1e8]]
+    for centres in (near, near + [[float(i), 0.0] for i in range(400)]):
+        r = anomaly.assign_nearest(df, cols, centres).first()
+        assert r["cluster"] == 1 and r["sqdist"] == pytest.approx(0.01, rel=1e-6)
+
+
+def test_term_vectors_refuse_to_lose_terms(spark):
+    docs = spark.createDataFrame([(1,)], "id long")
+    rows = spark.createDataFrame([(1, 0, "alpha"), (1, 1, "beta"), (1, 2, "gamma")], "id long, pos int, token string")
+    with pytest.raises(ValueError):
+        text.term_vectors(docs, rows, "id", rows.select("token"), max_terms=2)
 
 
 def test_split_needs_validation_rows(spark):
