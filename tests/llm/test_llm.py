@@ -11,6 +11,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tablelab.llm import catalogue, components, decontaminate, fingerprints, jaccard, language, licences, line_dedup, lm, mixing, toxicity, warc, words
@@ -283,17 +284,32 @@ def test_line_dedup_keeps_first_occurrence(spark):
     assert line_dedup.decide(odd_rows(spark).limit(0)).count() == 0
 
 
-def test_near_prints_find_all_within_radius(spark):
+def test_candidates_are_all_within_radius(spark):
     rng = random.Random(12)
     base = [rng.getrandbits(64) for _ in range(30)]
     marks = base + [b ^ sum(1 << k for k in rng.sample(range(64), rng.randint(1, 3))) for b in base for _ in range(3)]
+    marks += marks[:9]  # classes with one fingerprint
     signed = [m - (1 << 64) if m >= 1 << 63 else m for m in marks]
-    frame = spark.createDataFrame([(m,) for m in signed], "fingerprint long")
-    label = {r["id"]: r["component"] for r in components.components(line_dedup.near_prints(frame), "a", "b").collect()}
-    for a, x in zip(signed, marks):
-        for b, y in zip(signed, marks):
-            if 0 < (x ^ y).bit_count() <= 3:
-                assert label[a] == label[b]
+    frame = spark.createDataFrame([(i.to_bytes(16, "big"), m) for i, m in enumerate(signed)], "key binary, fingerprint long")
+    nothing = spark.createDataFrame([], "id binary, component binary")
+    shared = line_dedup.shared_slots(frame)
+    got = {tuple(int.from_bytes(k, "big") for k in r) for r in line_dedup.other_pairs(shared, frame, nothing).collect()}
+    near = {(i, j) for j, y in enumerate(marks) for i, x in enumerate(marks[:j]) if (x ^ y).bit_count() <= 3}
+    assert got == near
+    first = {tuple(sorted(int.from_bytes(k, "big") for k in r)) for r in line_dedup.neighbour_pairs(shared, frame).collect()}
+    assert first and first <= near
+
+
+def test_line_fingerprints_match_brute_force(spark):
+    rng = random.Random(5)
+    lines = [" ".join(make_words(rng, n)) for n in (3, 4, 40, 200)]
+    frame = spark.createDataFrame([(i.to_bytes(16, "big"), t.split(" ")) for i, t in enumerate(lines)], "key binary, words array<string>")
+    hashes = {r["w"]: r["h"] for r in frame.select(F.explode("words").alias("w")).select("w", F.xxhash64("w").alias("h")).collect()}
+    for width in (16, 32):
+        for r in line_dedup._fingerprints(frame, width).collect():
+            words_ = lines[int.from_bytes(r["key"], "big")].split(" ")
+            votes = [sum(hashes[w] >> k & 1 for w in words_) for k in range(64)]
+            assert r["fingerprint"] & (1 << 64) - 1 == sum(1 << k for k in range(64) if 2 * votes[k] > len(words_))
 
 
 def test_language_model_matches_brute_force(spark):
