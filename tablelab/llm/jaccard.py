@@ -13,7 +13,8 @@ whatever common order. With l = ceil(n / 5):
    ties groups of copies together by few pairs.
 4. All pairs of a column that step 3 has not put into one component are compared in blocks: the symmetric
    difference of two sets is at least the number of differing bits of their parity bitmaps, which discards
-   nearly all pairs below the bound; the others are verified on the whole sets.
+   nearly all pairs below the bound; the others are verified on the whole sets where they meet, until the
+   links found tie a block's components together.
 5. Components of all verified links.
 
 Long columns are cut into blocks of rows and paired block by block, so no task holds a whole column.
@@ -24,7 +25,7 @@ documents with one id are rows of their own; a null id is never the id of a comp
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -188,7 +189,7 @@ def _bits_for(n: int) -> int:
 
 
 def whole_sets(documents: DataFrame, rows: DataFrame, found: DataFrame, size: int) -> DataFrame:
-    """sig, n, members (binary, sorted), parity (binary) of the sets in ``found``; stored.
+    """sig, n, members (binary, sorted) of the sets in ``found``; stored.
 
     One document stands for all its copies. The bitmap lets few other rows through, which repeat a set at worst.
     """
@@ -204,11 +205,11 @@ def whole_sets(documents: DataFrame, rows: DataFrame, found: DataFrame, size: in
             passed = np.flatnonzero((sig != 0) & ((sieve[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0))
             _, first = np.unique(sig[passed], return_index=True)
             own = [h[at[i] : at[i + 1]] for i in passed[first]]
-            columns = [sig[passed[first]].view(np.int64), [len(x) for x in own], [x.tobytes() for x in own], [_parity(x, _bits_for(len(x))).tobytes() for x in own]]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.int64(), pa.int64(), pa.binary(), pa.binary()])], names=["sig", "n", "members", "parity"])
+            columns = [sig[passed[first]].view(np.int64), [len(x) for x in own], [x.tobytes() for x in own]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.int64(), pa.int64(), pa.binary()])], names=["sig", "n", "members"])
 
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return session.stage(texts.mapInArrow(run, "sig long, n long, members binary, parity binary"), "sets")
+    return session.stage(texts.mapInArrow(run, "sig long, n long, members binary"), "sets")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, bounds: Bounds) -> DataFrame:
@@ -263,8 +264,8 @@ def _centre_pairs(found: DataFrame, bounds: Bounds) -> DataFrame:
     return pairs.join(most, ["a", "overlap"]).groupBy("a").agg(F.min("b").alias("b"))
 
 
-def _other_pairs(found: DataFrame, sets: DataFrame, label: DataFrame, bounds: Bounds, rows_per_block: int = 4096) -> DataFrame:
-    """Pairs of one column in different components whose parity bitmaps do not rule a link out: a, b."""
+def _other_links(found: DataFrame, sets: DataFrame, label: DataFrame, bounds: Bounds, rows_per_block: int = 2048) -> DataFrame:
+    """Links (a, b) between sets of one column that ``label`` has in different components, enough to tie each cell."""
     rows = found.join(label, "sig", "left").select("sig", F.coalesce("component", "sig").alias("component"), F.explode("grams").alias("g"))
     rows = rows.select("sig", "component", F.col("g.h").alias("h"), F.ceil(F.col("g.df") / rows_per_block).alias("parts"))
     rows = rows.withColumn("own", F.pmod(F.xxhash64("sig", F.lit(3)), F.col("parts")))
@@ -275,42 +276,73 @@ def _other_pairs(found: DataFrame, sets: DataFrame, label: DataFrame, bounds: Bo
     # columns with the same members are compared once
     several = several.where("x != y").groupBy("members", "again", "k").agg(F.min("cell").alias("cell")).select("cell")
     rows = session.stage(rows.join(several, "cell", "left_semi"), "cells")
+    rows = rows.join(sets.select("sig", "n", "members"), "sig")
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        out = [_sift(cell.drop_duplicates("sig"), bounds) for _, cell in frame.groupby("cell", sort=False)]
-        return pd.concat(out).drop_duplicates() if out else pd.DataFrame({"a": [], "b": []})
-
-    rows = rows.join(sets.select("sig", "n", "parity"), "sig").withColumn("task", F.pmod(F.col("cell"), F.lit(_spread(found, 20_000))))
-    return rows.groupBy("task").applyInPandas(run, "a long, b long").distinct()
-
-
-def _sift(cell: pd.DataFrame, bounds: Bounds, step: int = 64) -> pd.DataFrame:
-    """Pairs of a cell in different components that sizes and parity bitmaps let through."""
+        return pd.DataFrame(_ties(frame, bounds), columns=["a", "b"], dtype=np.int64)
+
+    rows = rows.withColumn("task", F.pmod(F.col("cell"), F.lit(_spread(found, 20_000))))
+    return rows.groupBy("task").applyInPandas(run, "a long, b long")
+
+
+def _ties(frame: pd.DataFrame, bounds: Bounds) -> list[tuple[int, int]]:
+    """Verified links between the components of some cells' sets: at most one fewer than there are components."""
+    up: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while x in up:
+            x = up[x]
+        return x
+
+    members = {s: np.frombuffer(m, U64) for s, m in zip(frame["sig"], frame["members"])}
+    maps = {s: _parity(m, _bits_for(len(m))).tobytes() for s, m in members.items()}
+    out, refused = [], set()
+    for _, cell in frame.groupby("cell", sort=False):
+        cell = cell.drop_duplicates("sig")
+        for a, b, of_a, of_b in _sift(cell, [maps[s] for s in cell["sig"]], root, bounds):
+            low, high = sorted((root(of_a), root(of_b)))
+            if low == high or (a, b) in refused:
+                continue
+            x, y = members[a], members[b]
+            shared = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+            if bounds.linked(shared, len(x), len(y)):
+                up[high] = low
+                out.append((a, b))
+            else:
+                if len(refused) >= 1 << 17:  # only a memory of comparisons, made again when forgotten
+                    refused.clear()
+                refused.add((a, b))
+    return out
+
+
+def _sift(cell: pd.DataFrame, maps: list[bytes], root: Callable[[int], int], bounds: Bounds, step: int = 64) -> Iterator[tuple[int, int, int, int]]:
+    """Pairs of a cell, with their components, that sizes and parity bitmaps let through and ``root`` has not yet tied."""
     sig, n, comp = (cell[c].to_numpy(np.int64) for c in ("sig", "n", "component"))
     order = np.argsort(n, kind="stable")
     sig, n, comp = sig[order], n[order], comp[order]
-    maps = [cell["parity"].iloc[i] for i in order]
+    maps = [maps[i] for i in order]
     lengths = np.array([len(m) for m in maps])
-    found_a, found_b = [], []
     for width in np.unique(lengths):  # a partner's bitmap has this length, or folds to it
         base, wide = np.flatnonzero(lengths == width), np.flatnonzero(lengths == 2 * width)
         grid = np.frombuffer(b"".join(maps[i] for i in base), np.uint8).reshape(len(base), width)
         more = np.frombuffer(b"".join(maps[i] for i in wide), np.uint8).reshape(len(wide), 2 * width)
         both = np.concatenate([grid, more[:, :width] ^ more[:, width:]]).view(U64)
         index = np.concatenate([base, wide])
-        size, who = n[index], comp[index]
+        size = n[index]
         for lo in range(0, len(base), step):
+            who = np.array([root(int(c)) for c in comp[index]], np.int64)
             hi = min(lo + step, len(base))
             to = int(np.searchsorted(size, size[hi - 1] * 100 // bounds.percent, side="right"))
-            differ = np.bitwise_count(both[lo:hi, None, :] ^ both[None, lo:to, :]).sum(2, dtype=np.int64)
-            ok = differ <= bounds.most_different(size[lo:hi, None], size[None, lo:to])
-            ok &= who[lo:hi, None] != who[None, lo:to]
+            ok = who[lo:hi, None] != who[None, lo:to]
             ok &= bounds.percent * size[None, lo:to] <= 100 * size[lo:hi, None]
             ok &= np.arange(hi - lo)[:, None] < np.arange(to - lo)[None, :]
-            i, j = np.nonzero(ok)
-            found_a.append(sig[index[lo + i]]), found_b.append(sig[index[lo + j]])
-    a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (found_a, found_b))
-    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+            if not ok.any():
+                continue
+            differ = np.bitwise_count(both[lo:hi, None, :] ^ both[None, lo:to, :]).sum(2, dtype=np.int64)
+            ok &= differ <= bounds.most_different(size[lo:hi, None], size[None, lo:to])
+            for i, j in zip(*np.nonzero(ok)):
+                x, y = sorted((int(sig[index[lo + i]]), int(sig[index[lo + j]])))
+                yield x, y, int(who[lo + i]), int(who[lo + j])
 
 
 def links(documents: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
@@ -324,7 +356,7 @@ def links(documents: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataF
     sets = whole_sets(documents, rows, found, size)
     near = session.stage(verified(session.stage(_centre_pairs(found, bounds), "centres"), sets, bounds).select("a", "b"), "near")
     label = components(near, "a", "b").select(F.col("id").alias("sig"), "component")
-    rest = session.stage(verified(session.stage(_other_pairs(found, sets, label, bounds), "others"), sets, bounds).select("a", "b"), "near")
+    rest = session.stage(_other_links(found, sets, label, bounds), "near")
     return rows, near.unionByName(rest)
 
 

@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -114,8 +115,40 @@ def test_jaccard_columns_are_cut_into_blocks(spark):
     found = jaccard.candidates(table(spark, texts), 5, bounds, 8)
     sets = jaccard.whole_sets(table(spark, texts), rows, found, 5)
     none = spark.createDataFrame([], "sig long, component long")
-    pairs = lambda k: {(r["a"], r["b"]) for r in jaccard.verified(jaccard._other_pairs(found, sets, none, bounds, rows_per_block=k), sets, bounds).collect()}
-    assert pairs(7) == pairs(4096) and len(pairs(7)) > 100
+    whole = {r["sig"]: set(np.frombuffer(r["members"], np.uint64).tolist()) for r in sets.collect()}
+    alike = lambda a, b: 100 * len(whole[a] & whole[b]) >= 80 * len(whole[a] | whole[b])
+    assert len(whole) == 60 and all(alike(a, b) for a in whole for b in whole)
+    for k in (7, 4096):
+        links = jaccard._other_links(found, sets, none, bounds, rows_per_block=k)
+        assert all(alike(r["a"], r["b"]) for r in links.collect())
+        tied = components.components(links, "a", "b").collect()
+        assert {r["id"] for r in tied} == set(whole) and len({r["component"] for r in tied}) == 1
+
+
+def test_ties_reach_what_all_links_reach():
+    rng, sets = np.random.default_rng(11), []
+    for _ in range(12):  # chains of near sets around the threshold, of several sizes
+        now = rng.integers(1, 1 << 62, int(rng.choice([6, 40, 150])), dtype=np.uint64)
+        for _ in range(9):
+            now = now.copy()
+            now[rng.integers(0, len(now), max(1, len(now) // int(rng.choice([9, 12, 30]))))] = rng.integers(1, 1 << 62, dtype=np.uint64)
+            sets.append(np.unique(now))
+    rows = [(i, cell, i, len(s), s.tobytes()) for i, s in enumerate(sets) for cell in {i // 9, (i + 4) // 9 + 100}]
+    frame = pd.DataFrame(rows, columns=["sig", "cell", "component", "n", "members"]).sample(frac=1, random_state=1)
+    alike = lambda a, b: 100 * len(np.intersect1d(a, b)) >= 80 * len(np.union1d(a, b))
+    cells = frame.groupby("cell")["sig"].apply(list)
+    links = {(min(a, b), max(a, b)) for own in cells for a in own for b in own if a != b and alike(sets[a], sets[b])}
+
+    def groups(pairs):
+        label = list(range(len(sets)))
+        for _ in sets:
+            for a, b in pairs:
+                label[a] = label[b] = min(label[a], label[b])
+        return label
+
+    got = jaccard._ties(frame, jaccard.Bounds(80))
+    assert set(got) <= links and groups(got) == groups(links)
+    assert 20 < len(got) < len(links)
 
 
 def test_jaccard_odd_rows(spark):
