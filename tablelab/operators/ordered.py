@@ -33,9 +33,6 @@ def _code(df: DataFrame, name: str) -> tuple[Column, bool]:
     """A double that never decreases when the column grows, and whether equal codes mean equal values."""
     kind = df.schema[name].dataType
     col = F.col(name)
-    if isinstance(kind, T.StringType):
-        prefix = F.rpad(F.substring(F.hex(F.substring(col, 1, 6)), 1, 12), 12, "0")
-        return F.conv(prefix, 16, 10).cast("double"), False
     if isinstance(kind, T.DateType):
         return F.unix_date(col).cast("double"), True
     if isinstance(kind, T.TimestampType):
@@ -56,33 +53,60 @@ def _filler(kind: T.DataType) -> Column:
     return F.lit("").cast(kind) if isinstance(kind, T.StringType) else F.lit(0).cast(kind)
 
 
-def quantile_cuts(df: DataFrame, columns: Sequence[str], slices: int) -> dict[str, list[float]]:
-    """At most ``slices - 1`` cut points per column from one mergeable sketch pass."""
-    shares = [i / slices for i in range(1, slices)]
-    row = df.agg(
-        *[
-            F.percentile_approx(_code(df, c)[0], F.array(*[F.lit(s) for s in shares]), F.lit(max(10_000, 10 * slices))).alias(f"q{i}")
-            for i, c in enumerate(columns)
-        ]
-    ).first()
-    return {
-        c: sorted({v for v in (row[f"q{i}"] or []) if not math.isnan(v) and not math.isinf(v)})
-        for i, c in enumerate(columns)
-    }
+def _is_text(df: DataFrame, name: str) -> bool:
+    return isinstance(df.schema[name].dataType, T.StringType)
+
+
+def _text_cuts(df: DataFrame, name: str, slices: int, per_slice: int = 40) -> list[str]:
+    """Cut points of a text column, as whole values: quantiles of the ``per_slice * slices`` rows with the
+    smallest hashes. The sample only places the cuts; every row is sliced."""
+    mark = F.xxhash64(*[c for c in df.columns if not isinstance(df.schema[c].dataType, (T.MapType, T.VariantType))])
+    drawn = df.select(name, mark.alias("__mark")).filter(F.col(name).isNotNull()).orderBy("__mark").limit(per_slice * slices)
+    # UTF-8 bytes sort as Spark sorts texts
+    values = sorted((r[0] for r in drawn.select(name).collect()), key=lambda v: v.encode("utf-8", "surrogatepass"))
+    picked = [values[len(values) * i // slices] for i in range(1, slices)] if values else []
+    return list(dict.fromkeys(picked))
+
+
+def _text_bin(col: Column, points: Sequence[str]) -> tuple[Column, Column]:
+    """Number of a text's bin (odd: a cut value alone, -1: NULL) and whether it is such a bin."""
+    if not points:
+        return F.when(col.isNull(), -1).otherwise(0), F.lit(False)
+    step = max(1, math.isqrt(len(points)))
+    all_points, coarse = (F.array(*[F.lit(p) for p in ps]) for ps in (points, points[step - 1 :: step]))
+    # blocks of cuts first, then the cuts of one block: two short searches for each row
+    start = F.size(F.filter(coarse, lambda p: p < col)) * step
+    below = start + F.size(F.filter(F.slice(all_points, start + 1, F.lit(step)), lambda p: p < col))
+    single = F.coalesce(F.get(all_points, below) == col, F.lit(False))
+    return F.when(col.isNull(), -1).otherwise(2 * below + single.cast("int")), single
+
+
+def quantile_cuts(df: DataFrame, columns: Sequence[str], slices: int) -> dict[str, list]:
+    """At most ``slices - 1`` cut points per column: one mergeable sketch pass for all columns but texts."""
+    shares = F.array(*[F.lit(i / slices) for i in range(1, slices)])
+    coded = [c for c in columns if not _is_text(df, c)]
+    found: dict[str, list] = {c: _text_cuts(df, c, slices) for c in columns if _is_text(df, c)}
+    if coded:
+        accuracy = F.lit(max(10_000, 10 * slices))
+        row = df.agg(*[F.percentile_approx(_code(df, c)[0], shares, accuracy).alias(f"q{i}") for i, c in enumerate(coded)]).first()
+        for i, c in enumerate(coded):
+            found[c] = sorted({v for v in (row[f"q{i}"] or []) if not math.isnan(v) and not math.isinf(v)})
+    return found
 
 
 def default_slices(df: DataFrame) -> int:
     """As many slices as the session has shuffle partitions, so they grow with the cluster's setting."""
-    return max(8, min(10_000, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    return max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def with_slices(
     df: DataFrame,
     order: Sequence[str],
     slices: int | None = None,
-    cuts: dict[str, list[float]] | None = None,
+    cuts: dict[str, list] | None = None,
 ) -> DataFrame:
-    """Add the slice number; sorting by (slice, order columns) equals sorting by the order columns.
+    """Add the slice (bin numbers of the order columns); sorting by (slice, order columns) equals sorting by
+    the order columns, for any number of them.
 
     A cut value gets a slice of its own, so a value so frequent that it is a cut holds nothing but
     itself there, and that slice is divided again by the next order column.
@@ -90,11 +114,15 @@ def with_slices(
     slices = slices or default_slices(df)
     parsed = _parse(order)
     cuts = cuts or quantile_cuts(df, [c for c, _ in parsed], slices)
-    width = 2 * slices + 4
-    out, slice_no, alone = df, F.lit(0).cast("long"), F.lit(True)
+    out, numbers, alone = df, [], F.lit(True)
     for i, (name, down) in enumerate(parsed):
-        code, exact = _code(df, name)
         points = cuts.get(name, [])
+        if _is_text(df, name):
+            number, single = _text_bin(F.col(name), points)
+            numbers.append(F.when(alone, -number if down else number).otherwise(0))
+            alone = alone & single
+            continue
+        code, exact = _code(df, name)
         splits = [-math.inf]
         for p in points:
             if p > splits[-1]:
@@ -107,14 +135,13 @@ def with_slices(
             number = F.when(F.col(raw).isNull(), -1).otherwise(F.col(bin_)).cast("long")
         else:
             number = F.when(F.col(raw).isNull(), -1).otherwise(0).cast("long")
-        number = (width - 2 - number) if down else (number + 1)
-        slice_no = slice_no * width + F.when(alone, number).otherwise(0)
+        numbers.append(F.when(alone, -number if down else number).otherwise(0))
         if exact and len(splits) > 2:
             # Odd bins hold a cut value alone; beyond 2^53 two whole numbers may share a code.
             alone = alone & (F.coalesce(F.col(bin_), F.lit(0.0)) % 2 == 1) & (F.abs(F.col(raw)) < 2.0**53)
         else:
             alone = F.lit(False)
-    return out.withColumn(SLICE, slice_no).select(*df.columns, SLICE)
+    return out.withColumn(SLICE, F.array(*[n.cast("long") for n in numbers])).select(*df.columns, SLICE)
 
 
 def running_totals(

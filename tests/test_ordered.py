@@ -41,6 +41,22 @@ def test_frequent_value_is_divided_by_next_column(spark):
     assert sliced.groupBy(O.SLICE).count().agg(F.max("count")).first()[0] <= 4000 / 16 * 2
 
 
+def test_texts_with_a_common_prefix_spread(spark):
+    df = spark.range(4000).select(F.concat(F.lit("Customer#"), F.lpad(F.col("id").cast("string"), 9, "0")).alias("name"), "id")
+    sizes = [r["count"] for r in O.with_slices(df, ["name"], slices=16).groupBy(O.SLICE).count().collect()]
+    assert len(sizes) >= 16 and max(sizes) <= 4000 / 16 * 2
+    got = O.row_positions(df, [], ["-name"], slices=16)
+    assert got.filter(F.col("pos") != 4000 - F.col("id")).count() == 0
+
+
+def test_many_order_columns_and_slices(spark):
+    df = spark.range(300).select(*[(F.col("id") % m).alias(f"c{m}") for m in (1, 2, 3, 5, 7)], "id")
+    order = ["c1", "-c2", "c3", "c5", "-c7", "id"]
+    w = Window.orderBy(*O.sort_columns(order))
+    want = {r["id"]: r["p"] for r in df.select("id", F.row_number().over(w).alias("p")).collect()}
+    assert {r["id"]: r["pos"] for r in O.row_positions(df, [], order, slices=10_000).collect()} == want
+
+
 def test_running_totals(skewed):
     w = Window.partitionBy("k").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
     want = {r["id"]: r["t"] for r in skewed.select("id", F.sum("a").over(w).alias("t")).collect()}
