@@ -33,16 +33,35 @@ def world_grid(zoom: int, tile: int = TILE) -> Grid:
     return Grid(-half, half, 2 * half / (tile * 2**zoom))
 
 
-def tile_to_layout(cells: DataFrame, lon: str, lat: str, zoom: int, tile: int = TILE) -> DataFrame:
-    """Reproject cell centres to the global layout. Of several source cells in one target cell the one
-    nearest the target's centre stays (ties: smallest source column, then row)."""
-    g = world_grid(zoom, tile)
-    moved = cells.withColumn("__p", to_mercator(F.col(lon), F.col(lat)))
-    x, y = (F.col("__p.x") - g.x0) / g.size, (F.lit(g.y0) - F.col("__p.y")) / g.size
-    placed = moved.withColumns({"__c": F.floor(x), "__r": F.floor(y)})
-    dx, dy = x - F.col("__c") - 0.5, y - F.col("__r") - 0.5
-    best = F.min_by("value", F.struct(F.round(dx * dx + dy * dy, 9), F.col("col"), F.col("row")))
-    out = placed.groupBy(F.col("__c").alias("c"), F.col("__r").alias("r")).agg(best.alias("value"))
+def layout_zoom(size: float, tile: int = TILE, tolerance: float = 0.1) -> int:
+    """Zoom of the layout for source cells of ``size`` metres: the coarsest one whose cells are not larger,
+    give or take ``tolerance``."""
+    return max(0, math.ceil(math.log2(world_grid(0, tile).size / (size * (1 + tolerance)))))
+
+
+def tile_to_layout(
+    cells: DataFrame, lon: str, lat: str, width: float, height: float, zoom: int, tile: int = TILE
+) -> DataFrame:
+    """Resample a layer to the global layout: a target cell takes the source cell its centre lies in.
+
+    ``lon`` and ``lat`` are the centres of source cells of ``width`` x ``height`` degrees. A source cell goes
+    to all target cells whose centres its footprint covers, so coarse sources leave no gaps and fine ones are
+    thinned out before the shuffle. A centre on an edge takes the smallest source column, then row.
+    """
+    g, side, edge = world_grid(zoom, tile), tile * 2**zoom, 1e-9
+    south, north = F.greatest(F.col(lat) - height / 2, F.lit(-89.9)), F.least(F.col(lat) + height / 2, F.lit(89.9))
+    corners = cells.withColumns(
+        {"__a": to_mercator(F.col(lon) - width / 2, north), "__b": to_mercator(F.col(lon) + width / 2, south)}
+    )
+    first = lambda at: F.greatest(F.ceil(at / g.size - 0.5 - edge), F.lit(0)).cast("int")
+    last = lambda at: F.least(F.floor(at / g.size - 0.5 + edge), F.lit(side - 1)).cast("int")
+    spans = corners.select(
+        "col", "row", "value",
+        first(F.col("__a.x") - g.x0).alias("c0"), last(F.col("__b.x") - g.x0).alias("c1"),
+        first(F.lit(g.y0) - F.col("__a.y")).alias("r0"), last(F.lit(g.y0) - F.col("__b.y")).alias("r1"),
+    ).filter("c0 <= c1 and r0 <= r1")
+    placed = spans.withColumn("c", F.explode(F.sequence("c0", "c1"))).withColumn("r", F.explode(F.sequence("r0", "r1")))
+    out = placed.groupBy("c", "r").agg(F.min_by("value", F.struct("col", "row")).alias("value"))
     return out.select(
         F.lit(zoom).alias("zoom"),
         F.floor(F.col("c") / tile).cast("int").alias("tile_col"),

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import json
+import math
 
 from pyspark.sql import functions as F
 
 from ..functions import spatial as G
 from ..functions.scalars import safe_double
+from ..functions.spatial import MERCATOR_RADIUS
 from ..operators import geo, raster, sensors
 from ..operators.relational import count_by
 from . import fixtures as X
@@ -226,26 +228,31 @@ def polygon_parse(spark, sf):
 # --- rasters ---------------------------------------------------------------------------------------
 
 GRID = raster.Grid(0.0, 0.0, 10_000.0)
-_ZOOM = 6
+_CELL = 0.002  # degrees
+_STRIP = 50_000  # rows from 60 degrees north downwards; the rows after them lie further east
+_ZOOM = raster.layout_zoom(math.radians(_CELL) * MERCATOR_RADIUS)
 _WORLD = raster.world_grid(_ZOOM)
+_C0 = math.floor((math.radians(8.0) * MERCATOR_RADIUS - _WORLD.x0) / _WORLD.size)
+_R0 = math.floor((_WORLD.y0 - math.log(math.tan(math.pi / 4 + math.radians(60.0) / 2)) * MERCATOR_RADIUS) / _WORLD.size)
 
 
 def _lonlat(spark, sf):
-    """The raster as degrees: 0.02 per cell, latitudes repeating every 5000 rows."""
-    return X.raster(spark, sf).withColumns(
-        {"lng": F.lit(8.0) + (F.col("col") + 0.5) * 0.02, "lat": F.lit(60.0) - (F.col("row") % 5000 + 0.5) * 0.02}
-    )
-
-
-@register(f"""WITH {X.RASTER_SQL}, g AS (SELECT *, 8.0::DOUBLE + (col + 0.5::DOUBLE) * 0.02::DOUBLE AS lng,
-  60.0::DOUBLE - ("row" % 5000 + 0.5::DOUBLE) * 0.02::DOUBLE AS lat FROM cells),
-m AS (SELECT *, ({_MX} - {_WORLD.x0}::DOUBLE) / {_WORLD.size}::DOUBLE AS x, ({_WORLD.y0}::DOUBLE - {_MY}) / {_WORLD.size}::DOUBLE AS y FROM g),
-k AS (SELECT *, row_number() OVER (PARTITION BY floor(x), floor(y)
-  ORDER BY round(pow(x - floor(x) - 0.5, 2) + pow(y - floor(y) - 0.5, 2), 9), col, "row") AS rn FROM m)
-SELECT CAST({_ZOOM} AS INTEGER) AS zoom, CAST(floor(x / 256) AS INTEGER) AS tile_col, CAST(floor(y / 256) AS INTEGER) AS tile_row,
-  CAST(floor(x) AS INTEGER) AS col, CAST(floor(y) AS INTEGER) AS "row", value FROM k WHERE rn = 1""")
+    """The raster as degrees, in strips side by side, so that it grows with its table."""
+    east, down = F.col("col") + X.RASTER_WIDTH * F.floor(F.col("row") / _STRIP), F.col("row") % _STRIP
+    return X.raster(spark, sf).withColumns({"lng": F.lit(8.0) + (east + 0.5) * _CELL, "lat": F.lit(60.0) - (down + 0.5) * _CELL})
+
+
+# From the target grid: the centre of each column and row of the layout is looked up in the source.
+@register(f"""WITH {X.RASTER_SQL}, g AS (SELECT col + {X.RASTER_WIDTH} * ("row" // {_STRIP}) AS sc, "row" % {_STRIP} AS sr, value FROM cells),
+b AS (SELECT max(sc) + 1 AS nc, max(sr) + 1 AS nr FROM g),
+tc AS (SELECT c, CAST(floor((degrees(({_WORLD.x0}::DOUBLE + (c + 0.5::DOUBLE) * {_WORLD.size}::DOUBLE) / {MERCATOR_RADIUS}::DOUBLE) - 8) / {_CELL}::DOUBLE) AS BIGINT) AS sc
+  FROM (SELECT unnest(range({_C0}, CAST({_C0} + nc * 2 + 2 AS BIGINT))) AS c FROM b)),
+tr AS (SELECT r, CAST(floor((60 - degrees(2 * atan(exp(({_WORLD.y0}::DOUBLE - (r + 0.5::DOUBLE) * {_WORLD.size}::DOUBLE) / {MERCATOR_RADIUS}::DOUBLE)) - pi() / 2)) / {_CELL}::DOUBLE) AS BIGINT) AS sr
+  FROM (SELECT unnest(range({_R0}, CAST({_R0} + nr * 4 + 4 AS BIGINT))) AS r FROM b))
+SELECT CAST({_ZOOM} AS INTEGER) AS zoom, CAST(c // 256 AS INTEGER) AS tile_col, CAST(r // 256 AS INTEGER) AS tile_row,
+  CAST(c AS INTEGER) AS col, CAST(r AS INTEGER) AS "row", value FROM g JOIN tc USING (sc) JOIN tr USING (sr)""")
 def raster_tiles(spark, sf):
-    return raster.tile_to_layout(_lonlat(spark, sf), "lng", "lat", _ZOOM)
+    return raster.tile_to_layout(_lonlat(spark, sf), "lng", "lat", _CELL, _CELL, _ZOOM)
 
 
 def _pyramid_sql(agg: str) -> str:

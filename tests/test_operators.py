@@ -481,3 +481,25 @@ def test_key_sample_is_repeatable(spark):
     df = spark.range(1000).toDF("k")
     a = {r["k"] for r in sampling.key_sample(df, "k", 50).collect()}
     assert len(a) == 50 and a == {r["k"] for r in sampling.key_sample(df.repartition(3), "k", 50).collect()}
+
+
+@pytest.mark.parametrize("zoom", [4, 6])
+def test_tiles_have_no_gaps_and_hold_the_cell_below_their_centre(spark, zoom):
+    side = 2.0  # degrees; coarser than the cells of zoom 6
+    cells = spark.range(200).select((F.col("id") % 20).cast("int").alias("col"), F.floor(F.col("id") / 20).cast("int").alias("row"))
+    cells = cells.withColumns({"value": F.col("row") * 100.0 + F.col("col"), "lon": (F.col("col") + 0.5) * side - 7, "lat": F.lit(60.0) - (F.col("row") + 0.5) * side})
+    got = {(r["col"], r["row"]): r["value"] for r in raster.tile_to_layout(cells, "lon", "lat", side, side, zoom).collect()}
+    g, want = raster.world_grid(zoom), {}
+    for c in range(256 * 2**zoom):
+        lon = math.degrees((g.x0 + (c + 0.5) * g.size) / 6_378_137.0)
+        if -7 <= lon < 33:
+            for r in range(256 * 2**zoom // 2):
+                lat = math.degrees(2 * math.atan(math.exp((g.y0 - (r + 0.5) * g.size) / 6_378_137.0)) - math.pi / 2)
+                if 40 < lat <= 60:
+                    want[c, r] = math.floor((60 - lat) / side) * 100.0 + math.floor((lon + 7) / side)
+    assert got == want
+
+
+def test_zoom_follows_from_the_cell_size():
+    size = raster.world_grid(5).size
+    assert [raster.layout_zoom(s) for s in (size, size * 0.95, size * 0.8, size * 1.2, 1e9)] == [5, 5, 6, 5, 0]
