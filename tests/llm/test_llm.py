@@ -333,6 +333,40 @@ def test_candidates_are_all_within_radius(spark):
     assert first and first <= near
 
 
+def word_edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_similar_lines_are_all_found(spark):
+    rng = random.Random(21)
+    stock = make_words(rng, 60)
+    lines = []
+    for n in (4, 5, 7, 10, 20, 50, 100):
+        for _ in range(8):
+            line = [rng.choice(stock) for _ in range(n)]
+            lines.append(line)
+            for edits in {1, n // 10, n // 5}:
+                copy = list(line)
+                for at in rng.sample(range(n), min(edits, n)):
+                    copy[at] = rng.choice(["", "{} more", "other"]).format(copy[at])
+                lines.append(" ".join(copy).split())
+    lines += [["la"] * 5, ["la"] * 6, ["la"] * 9]
+    group = list(range(len(lines)))
+    for j, y in enumerate(lines):
+        for i, x in enumerate(lines[:j]):
+            longest = max(len(x), len(y))
+            if abs(len(x) - len(y)) * 5 <= longest and 5 * word_edits(x, y) <= longest:
+                a, b = group[i], group[j]
+                group = [min(a, b) if g in (a, b) else g for g in group]
+    gone = line_dedup.decide(table(spark, [" ".join(x) for x in lines]))
+    assert {r["doc_id"]: r["group_doc"] for r in gone.collect()} == {i: g for i, g in enumerate(group) if g != i}
+
+
 def test_line_fingerprints_match_brute_force(spark):
     rng = random.Random(5)
     lines = [" ".join(make_words(rng, n)) for n in (3, 4, 40, 200)]
