@@ -83,7 +83,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines that go: doc_id, line_no, group_doc."""
-    return line_dedup.decide(_table(spark, sf_dir, "documents"))
+    return line_dedup.decide(_table(spark, sf_dir, "documents"), exact_words=1)
 
 
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:

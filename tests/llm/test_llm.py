@@ -367,6 +367,13 @@ def test_similar_lines_are_all_found(spark):
     assert {r["doc_id"]: r["group_doc"] for r in gone.collect()} == {i: g for i, g in enumerate(group) if g != i}
 
 
+def test_short_and_unspaced_lines(spark, tmp_path):
+    texts = ["one\nshort one\n--", "Short, one!\n--", "ONE", "\u4eca\u65e5\u306f\u5929\u6c17\u304c\u826f\u3044\u3067\u3059\u306d", "\u4eca\u65e5\u306f\u5929\u6c17\u304c\u60aa\u3044\u3067\u3059\u306d", "short two"]
+    table(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r["doc_id"], r["line_no"], r["group_doc"]) for r in catalogue.op7_line_dedup(spark, str(tmp_path)).collect()}
+    assert got == {(1, 0, 0), (2, 0, 0), (4, 0, 3)}
+
+
 def test_line_fingerprints_match_brute_force(spark):
     rng = random.Random(5)
     lines = [" ".join(make_words(rng, n)) for n in (3, 4, 40, 200)]
