@@ -8,7 +8,8 @@ the budget, with no rate above 1. Each document is kept if a number drawn from i
 
 Cells stay a table, however many sources there are. Levels without a target share what the named levels
 leave, in proportion to their tokens; targets of levels that have no tokens are left out and the others
-scaled up.
+scaled up. If the named levels leave nothing, the others keep the share of tokens they have and the named ones are
+scaled to the rest, so no level is lost because it was not named.
 
 Defined cases: null levels are a level of their own; null and empty texts have 0 tokens and go with their cell's
 rate; cells without tokens have rate 1; repeated rows are drawn alike; rows with a null id are drawn by the
@@ -38,8 +39,10 @@ def _shares(cells: DataFrame, column: str, targets: dict[str, float]) -> DataFra
     for level, share in targets.items():
         named = F.when(F.col(column) == level, F.lit(float(share))).otherwise(named)
     levels = levels.withColumn("named", named)
-    given, rest, n = levels.agg(F.coalesce(F.sum("named"), F.lit(0.0)), F.coalesce(F.sum(F.when(F.col("named").isNull(), F.col("n"))), F.lit(0)), F.count("*")).first()
+    given, rest, n = levels.agg(F.coalesce(F.sum("named"), F.lit(0.0)), F.coalesce(F.sum(F.when(F.col("named").isNull(), F.col("n"))), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
     left = max(0.0, 1.0 - given) if rest else 0.0
+    if rest and left < 1e-9:  # sums of decimal shares may miss 1 by rounding
+        left = given * rest / (n - rest)
     total = (given + left) or 1.0
     share = F.coalesce("named", F.lit(left) * F.col("n") / F.lit(max(rest, 1))) / F.lit(total)
     return levels.select(column, share.alias("share"))

@@ -214,6 +214,20 @@ def test_mixing_meets_its_targets(spark):
     assert mixing.mix(frame.limit(0), {"source": {"a": 1.0}}).count() == 0
 
 
+def test_levels_without_a_target_are_not_lost(spark, tmp_path):
+    rng = random.Random(3)
+    rows = [(i, "w " * rng.randint(20, 50), rng.choice(["en", "de", "fr", "es", "it", None]), f"src{i % 3}") for i in range(600)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = catalogue.op4_mixing(spark, str(tmp_path)).toPandas()
+    mass, n = got["n_tokens"] * got["rate"], got["n_tokens"]
+    assert mass.sum() / n.sum() == pytest.approx(0.3, abs=1e-6)
+    for other in (got["lang"].isna(), got["lang"] == "it"):
+        assert (got.loc[other, "rate"] > 0).all() and got.loc[other, "kept"].any()
+        assert mass[other].sum() / mass.sum() == pytest.approx(n[other].sum() / n.sum(), abs=1e-3)
+    en, de = (mass[got["lang"] == x].sum() for x in ("en", "de"))
+    assert en / de == pytest.approx(2, abs=1e-2)
+
+
 def test_warc_round_trip_over_ranges(spark, tmp_path):
     pages = [(1, "http://a", "<p>é</p>" * 500), (2, None, "same"), (5, "http://b\nc", "same"), (4, "u", None), (3, "v", ""), (9, "w", "WARC/1.1\r\n\r\n x"), (None, "n", "alone"), (7, "m", "same")]
     frame = spark.createDataFrame(pages, "page_id long, url string, html string")
