@@ -1,16 +1,16 @@
 """Language model in Elias-Fano n-gram tries: trained and queried shard by shard.
 
 Model: p(w|v) = (c(vw) + mu * p(w)) / (c(v) + mu), v the word before (or the text's begin), and p(w) the share of
-w with one added to each count. Words rarer than 2^-18 of all training tokens share the probability of their
-class evenly, so the list of single frequent words has at most 2^18 rows whatever the corpus (the only thing
-that is sent to all tasks).
+w with one added to each count; words never seen in training have 1 as their count. Words of at least 2^-18 of all
+training tokens are at most 2^18, whatever the corpus, and are sent to all tasks (nothing else is). The counts of
+all rarer words go by a shuffle to the shards that hold a pair with them.
 
 Word pairs of all texts are cut by their context into shards; contexts that are too frequent for one shard are
 cut again by their next word. Each shard counts the pairs of training texts and stores them as a trie: sorted
 contexts, Elias-Fano pointers to their successors, Elias-Fano successors relative to their context, quantised
 log-probabilities and context weights, packed in one memory-mapped file. All pairs of the shard are then looked
 up in it, and sums for each text go back to the block of texts they come from. What is gathered grows with the
-input, and nothing else but pairs is shuffled.
+input, and nothing else but pairs and counts is shuffled.
 
 Defined cases: null and empty texts have one token, the end; with no training texts every word is unknown;
 repeated rows are scored one by one; rows with a null id are held out.
@@ -179,7 +179,7 @@ def count_words(documents: DataFrame, learn: str, size: int = 8 << 20) -> DataFr
     return rows.mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
 
 
-def score(documents: DataFrame, learn: str, mu: float = 4.0, tokens_per_shard: int = 1_500_000, block_bytes: int = 4 << 20) -> DataFrame:
+def score(documents: DataFrame, learn: str, mu: float = 4.0, tokens_per_shard: int = 1_500_000, block_bytes: int = 4 << 20, frequent_words: int = 1 << 18) -> DataFrame:
     """Train on rows where ``learn`` (SQL on the columns of ``documents``) holds and score all rows.
 
     Returns doc_id, learnt, n_tokens, n_known, train_tokens, base_score, score, one row for each input row.
@@ -188,7 +188,8 @@ def score(documents: DataFrame, learn: str, mu: float = 4.0, tokens_per_shard: i
     counted = session.stage(count_words(documents, learn), "wordcounts")
     n_all, v_all = counted.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     # the least share of a frequent word bounds the number of them
-    frequent = counted.where(F.col("c") >= F.lit(n_all / (1 << 18))).toPandas().sort_values("h")
+    least = F.lit(n_all / frequent_words)
+    frequent = counted.where(F.col("c") >= least).toPandas().sort_values("h")
     freq_h = frequent["h"].to_numpy(np.int64).view(U64)
     order = np.argsort(freq_h)
     freq_h, freq_c = freq_h[order], frequent["c"].to_numpy(np.int64)[order]
@@ -201,10 +202,12 @@ def score(documents: DataFrame, learn: str, mu: float = 4.0, tokens_per_shard: i
     common = {"h": freq_h, "c": freq_c, "n": int(n_all), "v": int(v_all), "ends": ends, "shards": shards, "mu": mu}
     common["h40"] = np.sort(freq_h & LOW40)
     common["p40"] = ((freq_c + 1) / (n_all + v_all + 1))[np.argsort(freq_h & LOW40)]
-    rare_types = v_all - len(freq_h)
-    common["rare_p"] = (n_all - freq_c.sum() + rare_types + 1) / (n_all + v_all + 1) / (rare_types + 1)
     pairs = rows.mapInArrow(_cut(common, block_bytes), "shard int, block long, payload binary")
-    sums = pairs.repartition(shards, "shard").groupBy("shard").applyInPandas(_shard(common), "block long, kind int, payload binary")
+    asked = rows.select("text").mapInArrow(_ask(common, block_bytes), "home int, payload binary")
+    short = F.col("h").bitwiseAND(F.lit((1 << 40) - 1))
+    held = counted.where(F.col("c") < least).select(F.pmod(short, F.lit(shards)).cast("int").alias("home"), short.alias("h40"), "c")
+    counts = asked.repartition(shards, "home").groupBy("home").cogroup(held.repartition(shards, "home").groupBy("home")).applyInPandas(_answer, "shard int, payload binary")
+    sums = pairs.repartition(shards, "shard").groupBy("shard").cogroup(counts.repartition(shards, "shard").groupBy("shard")).applyInPandas(_shard(common), "block long, kind int, payload binary")
     return sums.groupBy("block").applyInPandas(_total(common), "doc_id long, learnt boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
@@ -216,9 +219,69 @@ def _count_of(common: dict, h: np.ndarray) -> np.ndarray:
     return np.where(h == BEGIN, common["ends"], np.where(common["h"][at] == h, common["c"][at], 0))
 
 
-def _cut(common: dict, block_bytes: int):
+def _shard_of(common: dict, before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Shard of each pair: that of its context, cut again by the next word if the context is too frequent."""
     share = max(common["n"] / common["shards"] / 8, 1.0)
+    pieces = np.ceil(_count_of(common, before) / share).astype(U64)
+    salt = np.where(pieces > U64(1), words.mix(word) % np.maximum(pieces, U64(1)), U64(0))
+    return (words.mix(before + salt * U64(0x9E3779B97F4A7C15)) >> U64(8)) % U64(common["shards"])
+
+
+def _runs(sorted_: np.ndarray):
+    """(value, begin, end) of each run of equal values."""
+    names, first = np.unique(sorted_, return_index=True)
+    return zip(names, first, [*first[1:], len(sorted_)])
+
+
+def _ask(common: dict, block_bytes: int):
+    """Rare words of each block and the shards that need their counts, by the home of the word."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _blocks(batches, block_bytes):
+            before, word, _, _ = _tokens(block.column(0))
+            rare = ~np.isin(word & LOW40, common["h40"])
+            shard, short = _shard_of(common, before[rare], word[rare]), word[rare] & LOW40
+            home = short % U64(common["shards"])
+            order = np.lexsort((shard, short, home))
+            shard, short, home = shard[order], short[order], home[order]
+            new = np.ones(len(short), bool)
+            new[1:] = (short[1:] != short[:-1]) | (shard[1:] != shard[:-1])
+            shard, short, home = shard[new], short[new], home[new]
+            out = [(int(k), short[i:j].tobytes() + shard[i:j].astype(np.uint32).tobytes()) for k, i, j in _runs(home)]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), [pa.int32(), pa.binary()])], names=["home", "payload"])
+
+    return run
+
+
+def _read_counts(blobs, kind) -> tuple[np.ndarray, np.ndarray]:
+    """Words and what is stored with each (``kind`` of 4 bytes) of payloads."""
+    found = [(np.frombuffer(x, U64, len(x) // 12), np.frombuffer(x, kind, len(x) // 12, len(x) // 12 * 8)) for x in blobs]
+    if not found:
+        return np.zeros(0, U64), np.zeros(0, kind)
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def _answer(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+    """Training counts of the rare words that were asked for, by shard; words never seen are left out."""
+    short, shard = _read_counts(asked["payload"], np.uint32)
+    names, index = np.unique(held["h40"].to_numpy(np.int64).view(U64), return_inverse=True)
+    if not len(names) or not len(short):
+        return pd.DataFrame({"shard": np.zeros(0, np.int32), "payload": np.zeros(0, object)})
+    c = np.bincount(index, held["c"].to_numpy(np.int64)).astype(np.uint32)
+    at = np.minimum(np.searchsorted(names, short), len(names) - 1)
+    seen = names[at] == short
+    short, shard, c = short[seen], shard[seen], c[at[seen]]
+    order = np.lexsort((short, shard))
+    short, shard, c = short[order], shard[order], c[order]
+    new = np.ones(len(short), bool)
+    new[1:] = (short[1:] != short[:-1]) | (shard[1:] != shard[:-1])
+    short, shard, c = short[new], shard[new], c[new]
+    out = [(int(k), short[i:j].tobytes() + c[i:j].tobytes()) for k, i, j in _runs(shard)]
+    return pd.DataFrame({"shard": np.array([k for k, _ in out], np.int32), "payload": [x for _, x in out]})
+
+
+def _cut(common: dict, block_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, no = TaskContext.get().partitionId(), 0
         for block in _blocks(batches, block_bytes):
@@ -226,9 +289,7 @@ def _cut(common: dict, block_bytes: int):
             no += 1
             before, word, doc, n = _tokens(block.column(2))
             learnt = np.array(block.column(1).to_pylist(), bool)
-            pieces = np.ceil(_count_of(common, before) / share).astype(U64)
-            salt = np.where(pieces > U64(1), words.mix(word) % np.maximum(pieces, U64(1)), U64(0))
-            shard = (words.mix(before + salt * U64(0x9E3779B97F4A7C15)) >> U64(8)) % U64(common["shards"])
+            shard = _shard_of(common, before, word)
             short = word & LOW40
             order = np.lexsort((short, before, shard))
             before, short, doc, shard = before[order], short[order], doc[order], shard[order]
@@ -261,8 +322,8 @@ def _read(blob: bytes):
 
 
 def _shard(common: dict):
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        if frame["shard"].iloc[0] < 0:
+    def run(frame: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
+        if not len(frame) or frame["shard"].iloc[0] < 0:
             return pd.DataFrame({"block": frame["block"], "kind": 0, "payload": frame["payload"]})
         parts = [_read(x) for x in frame["payload"]]
         context, word, learnt = (np.concatenate([p[k] for p in parts]) for k in (0, 1, 3))
@@ -281,7 +342,7 @@ def _shard(common: dict):
         table = _count_of(common, uc[starts])
         total = np.where(table > 0, table, own)  # frequent contexts may lie in several shards
         group = np.cumsum(np.append(True, uc[1:] != uc[:-1])) - 1
-        p_word = _word_share(common, uw)
+        p_word = _word_share(common, uw, *_read_counts(counts["payload"], np.uint32))
         log_p = np.log10((n + common["mu"] * p_word) / (total[group] + common["mu"]))
         kept = n > 0
         counts = np.bincount(group, kept, len(starts)).astype(np.int64)
@@ -309,11 +370,16 @@ def _shard(common: dict):
     return run
 
 
-def _word_share(common: dict, short: np.ndarray) -> np.ndarray:
-    if not len(common["h40"]):
-        return np.full(len(short), common["rare_p"])
-    at = np.minimum(np.searchsorted(common["h40"], short), len(common["h40"]) - 1)
-    return np.where(common["h40"][at] == short, common["p40"][at], common["rare_p"])
+def _word_share(common: dict, short: np.ndarray, rare: np.ndarray, rare_c: np.ndarray) -> np.ndarray:
+    """Smoothed share of each word; ``rare``, ``rare_c``: words of the shard that are not in the list, and their counts."""
+    total = common["n"] + common["v"] + 1
+    out = np.full(len(short), 1 / total)
+    order = np.argsort(rare)
+    for names, p in ((rare[order], (rare_c[order].astype(float) + 1) / total), (common["h40"], common["p40"])):
+        if len(names):
+            at = np.minimum(np.searchsorted(names, short), len(names) - 1)
+            out = np.where(names[at] == short, p[at], out)
+    return out
 
 
 def _total(common: dict):

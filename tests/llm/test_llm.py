@@ -422,6 +422,19 @@ def test_language_model_matches_brute_force(spark):
     assert lm.score(frame.limit(0), "true").count() == 0
 
 
+def test_rare_words_keep_their_own_probability(spark):
+    rng = random.Random(13)
+    stock = sorted(set(make_words(rng, 300)))
+    texts = [" ".join(stock[int(len(stock) * rng.random() ** 3)] for _ in range(60)) for _ in range(40)] + ["never seen before"]
+    got = {r["doc_id"]: r["score"] for r in lm.score(table(spark, texts), "doc_id % 4 != 1 and doc_id < 40", mu=1e6, frequent_words=8).collect()}
+    toks = {i: [*t.split(), None] for i, t in enumerate(texts)}
+    c = Counter(t for i in toks if i % 4 != 1 and i < 40 for t in toks[i])
+    total = sum(c.values()) + len(c) + 1
+    for i, t in toks.items():
+        # so large a weight leaves the single words only
+        assert got[i] == pytest.approx(sum(math.log10((c[x] + 1) / total) for x in t), rel=2e-3)
+
+
 def test_elias_fano_and_trie_give_back_what_they_hold():
     rng = np.random.default_rng(1)
     for universe in (10, 1_000, 1 << 50):
