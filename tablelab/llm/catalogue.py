@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablelab import session
-from tablelab.llm import decontaminate, fingerprints, jaccard, language, licences, line_dedup, lm, mixing, toxicity, warc
+from tablelab.llm import decontaminate, fingerprints, jaccard, language, licences, line_dedup, lm, mixing, search, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -152,6 +152,10 @@ def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (~F.col("learnt")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=50)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -162,7 +166,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_ngram_jaccard, op2_decontaminate, op3_licences, op4_mixing, op5_warc, op6_toxicity, op7_line_dedup, op8_language,
-        op9_fingerprints, op10_language_model, pipeline,
+        op9_fingerprints, op10_language_model, op13_ranked_search, pipeline,
     )
 }
 
@@ -226,4 +230,19 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = winner THEN '
   CASE WHEN page_id = winner THEN NULL ELSE winner END AS refers_to FROM y
 """
 
-ORACLES: dict[str, str] = {"op1_ngram_jaccard": _OP1, "op2_decontaminate": _OP2, "op3_licences": _licence_sql(), "op5_warc": _OP5}
+_TERMS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+_OP13 = f"""
+WITH d AS (SELECT doc_id, {_TERMS} AS w FROM documents),
+s AS (SELECT count(*) FILTER (len(w) > 0)::BIGINT AS n, sum(len(w))::BIGINT AS l FROM d),
+i AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS t FROM benchmark),
+p AS (SELECT doc_id, len(w)::BIGINT AS n, t, count(*)::BIGINT AS tf FROM (SELECT doc_id, w, unnest(w) AS t FROM d)
+  WHERE t IN (SELECT t FROM i) GROUP BY doc_id, w, t),
+f AS (SELECT t, floor(1000 * ln((2 * s.n + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM p, s GROUP BY t, s.n),
+c AS (SELECT doc_id, t, w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * p.n * s.n) // s.l))) AS part FROM p JOIN f USING (t), s),
+x AS (SELECT item_id, doc_id, sum(part)::BIGINT AS score FROM i JOIN c USING (t) GROUP BY item_id, doc_id HAVING sum(part) > 0),
+r AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score FROM x)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 50
+"""
+
+ORACLES: dict[str, str] = {"op1_ngram_jaccard": _OP1, "op2_decontaminate": _OP2, "op3_licences": _licence_sql(), "op5_warc": _OP5, "op13_ranked_search": _OP13}
