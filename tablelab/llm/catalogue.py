@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablelab import session
-from tablelab.llm import decontaminate, fingerprints, jaccard, language, licences, line_dedup, lm, mixing, search, toxicity, warc
+from tablelab.llm import decontaminate, fingerprints, jaccard, language, licences, line_dedup, lm, mixing, prefix_trie, search, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -152,6 +152,11 @@ def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (~F.col("learnt")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = session.stage(prefix_trie.turn_rows(_table(spark, sf_dir, "conversations")), "turns")
+    return prefix_trie.build(prefix_trie.with_shared_heads(turns))
+
+
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=50)
 
@@ -166,7 +171,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_ngram_jaccard, op2_decontaminate, op3_licences, op4_mixing, op5_warc, op6_toxicity, op7_line_dedup, op8_language,
-        op9_fingerprints, op10_language_model, op13_ranked_search, pipeline,
+        op9_fingerprints, op10_language_model, op11_prefix_trie, op13_ranked_search, pipeline,
     )
 }
 
@@ -230,6 +235,26 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = winner THEN '
   CASE WHEN page_id = winner THEN NULL ELSE winner END AS refers_to FROM y
 """
 
+_OP11 = """
+WITH o AS (SELECT conv_id, list({'r': coalesce(role, ''), 'x': coalesce(text, '')}
+    ORDER BY turn NULLS FIRST, md5(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, ''))) AS s
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (SELECT conv_id, s, (xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda c, b: list_reduce(list_concat([xor(c, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda a, z: xor(a >> 1, 3988292384 * (a & 1)))), 4294967295) % 9)::INT AS h FROM o),
+r AS (SELECT c.conv_id, list_concat(coalesce(b.s, [])[1:c.h], c.s[c.h + 1:]) AS s FROM h c LEFT JOIN o b ON b.conv_id = c.conv_id - c.conv_id % 5),
+p AS (SELECT conv_id, len(s) AS size, d, s[1:d] AS k, CASE WHEN d = 0 THEN 0 ELSE octet_length(encode(s[d].x)) END AS bytes
+  FROM (SELECT conv_id, s, unnest(range(0, len(s) + 1)) AS d FROM r)),
+n AS (SELECT k, d, min(conv_id) AS conv_id, count(*) AS n, min(bytes) AS bytes,
+  sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (size = d), '')) AS ends FROM p GROUP BY k, d),
+c AS (SELECT k[1:d - 1] AS k, count(*) AS children FROM n WHERE d > 0 GROUP BY 1),
+u AS (SELECT n.*, coalesce(c.children, 0) AS children FROM n LEFT JOIN c USING (k)),
+t AS (SELECT k[1:a] AS k, count(*) FILTER (children = 0) AS leaves, sum((n - 1) * bytes) AS saved
+  FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM u) GROUP BY 1)
+SELECT u.conv_id, u.d::BIGINT AS depth, q.conv_id AS parent_conv_id, u.n AS n_convs, u.children AS n_children, t.leaves AS n_leaves,
+  t.saved::BIGINT AS saved_tokens, u.ends AS ends_sha256
+FROM u JOIN t USING (k) LEFT JOIN n q ON u.d > 0 AND q.k = u.k[1:u.d - 1]
+"""
+
 _TERMS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
 
 _OP13 = f"""
@@ -245,4 +270,4 @@ r AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DES
 SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 50
 """
 
-ORACLES: dict[str, str] = {"op1_ngram_jaccard": _OP1, "op2_decontaminate": _OP2, "op3_licences": _licence_sql(), "op5_warc": _OP5, "op13_ranked_search": _OP13}
+ORACLES: dict[str, str] = {"op1_ngram_jaccard": _OP1, "op2_decontaminate": _OP2, "op3_licences": _licence_sql(), "op5_warc": _OP5, "op11_prefix_trie": _OP11, "op13_ranked_search": _OP13}
