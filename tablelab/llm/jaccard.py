@@ -360,11 +360,15 @@ def links(documents: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataF
     return rows, near.unionByName(rest)
 
 
-def join_groups(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id reachable by links, itself included) of each row."""
-    rows, near = links(documents, size, percent)
+def named_rows(rows: DataFrame, near: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id of ``rows`` (doc_id, n_shingles, sig) by links between vertices."""
     label = components(near, "a", "b").select(F.col("id").alias("sig"), "component")
     rows = rows.join(label, "sig", "left").withColumn("component", F.coalesce("component", "sig"))
     least = rows.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1").select("component", "least")
     least = session.stage(least, "least")
     return rows.join(least, "component", "left").select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
+
+
+def join_groups(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest doc_id reachable by links, itself included) of each row."""
+    return named_rows(*links(documents, size, percent))
