@@ -11,13 +11,13 @@ whatever common order. With l = ceil(n / 5):
 3. In every column the most typical set (the one with the highest counts) is a centre; overlaps with centres
    are accumulated over the columns, and each set is verified against the centre of its largest overlap. This
    ties groups of copies together by few pairs.
-4. All pairs of a column that step 3 has not put into one component are compared in blocks: the symmetric
-   difference of two sets is at least the number of differing bits of their parity bitmaps, which discards
-   nearly all pairs below the bound; the others are verified on the whole sets where they meet, until the
-   links found tie a block's components together.
+4. All pairs of a column that step 3 has not put into one component are compared in blocks (``groups.tie``): the
+   symmetric difference of two sets is at least the number of differing bits of their parity bitmaps, which
+   discards nearly all pairs below the bound; the others are verified on the whole sets.
 5. Components of all verified links.
 
-Long columns are cut into blocks of rows and paired block by block, so no task holds a whole column.
+The counts of step 1 hold a bucket of columns in one task; from step 3 on long columns are cut into blocks, and the
+rows of a column's largest component are only compared with the others.
 
 Defined cases: null texts and texts without words are empty sets, linked with nothing; repeated rows and
 documents with one id are rows of their own; a null id is never the id of a component unless all its ids are null.
@@ -25,7 +25,7 @@ documents with one id are rows of their own; a null id is never the id of a comp
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablelab import session
-from tablelab.llm import words
+from tablelab.llm import groups, words
 from tablelab.llm.components import components
 
 U64 = np.uint64
@@ -168,8 +168,8 @@ def candidates(documents: DataFrame, size: int, bounds: Bounds, buckets: int) ->
     return session.stage(kept, "candidates")
 
 
-def _sieve(found: DataFrame, log_bits: int = 24) -> bytes:
-    """A bitmap of fixed size with the bit of every pair of sig and doc_id set."""
+def _sieve(found: DataFrame, log_bits: int) -> bytes:
+    """A bitmap of 2**log_bits bits with the bit of every pair of sig and doc_id set."""
     slot = F.pmod(F.col("sig").bitwiseXOR(F.coalesce("doc_id", F.lit(0))), F.lit(1 << log_bits))
     rows = found.select((slot / 32768).cast("int").alias("page"), F.pmod(slot, F.lit(32768)).alias("bit"))
     pages = rows.groupBy("page").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()
@@ -179,22 +179,14 @@ def _sieve(found: DataFrame, log_bits: int = 24) -> bytes:
     return bytes(out)
 
 
-def _parity(h: np.ndarray, bits: int) -> np.ndarray:
-    """Parity bitmap of a set: bit i is the parity of the number of members that fall on i."""
-    return np.packbits((np.bincount((h >> U64(20)).astype(np.int64) & (bits - 1), minlength=bits) & 1).astype(np.uint8), bitorder="little")
-
-
-def _bits_for(n: int) -> int:
-    return max(64, 1 << int(8 * n - 1).bit_length())
-
-
 def whole_sets(documents: DataFrame, rows: DataFrame, found: DataFrame, size: int) -> DataFrame:
     """sig, n, members (binary, sorted) of the sets in ``found``; stored.
 
     One document stands for all its copies. The bitmap lets few other rows through, which repeat a set at worst.
     """
     keepers = rows.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("doc_id")).join(found.select("sig"), "sig")
-    sieve = np.frombuffer(_sieve(keepers), np.uint8)
+    keepers = session.stage(keepers, "keepers")
+    sieve = np.frombuffer(_sieve(keepers, min(28, max(20, (8 * keepers.count()).bit_length()))), np.uint8)
     slots = U64(8 * len(sieve))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,113 +228,13 @@ def verified(pairs: DataFrame, sets: DataFrame, bounds: Bounds) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long, shared long")
 
 
-def _spread(found: DataFrame, entries_per_task: int = 200_000) -> int:
-    """Number of groups that keeps a group of cells small, whatever the input."""
-    entries = found.agg(F.coalesce(F.sum(F.size("grams")), F.lit(0))).first()[0]
-    return max(int(found.sparkSession.conf.get("spark.sql.shuffle.partitions")), entries // entries_per_task)
-
-
 def _centre_pairs(found: DataFrame, bounds: Bounds) -> DataFrame:
     """Each set with the one centre (the most typical set of a column) that it shares most columns with: a, b."""
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        h, sig, n, typical = (frame[c].to_numpy() for c in ("h", "sig", "n", "typical"))
-        order = np.lexsort((sig, -typical, h))
-        h, sig, n = h[order], sig[order], n[order]
-        first = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
-        lead = np.repeat(first, np.diff(np.append(first, len(h))))
-        a, b = sig, sig[lead]
-        ok = (a != b) & (100 * np.minimum(n, n[lead]) >= bounds.percent * np.maximum(n, n[lead]))
-        pairs = pd.DataFrame({"a": a[ok], "b": b[ok]})
-        return pairs.groupby(["a", "b"], as_index=False).size().rename(columns={"size": "overlap"})
-
     cells = found.select("sig", "n", (F.col("typical") / F.col("n")).alias("typical"), F.explode("grams.h").alias("h"))
-    cells = cells.withColumn("task", F.pmod(F.xxhash64("h"), F.lit(_spread(found))))
-    pairs = cells.groupBy("task").applyInPandas(run, "a long, b long, overlap long").groupBy("a", "b").agg(F.sum("overlap").alias("overlap"))
-    pairs = session.stage(pairs, "centres")
-    most = pairs.groupBy("a").agg(F.max("overlap").alias("overlap"))
-    return pairs.join(most, ["a", "overlap"]).groupBy("a").agg(F.min("b").alias("b"))
-
-
-def _other_links(found: DataFrame, sets: DataFrame, label: DataFrame, bounds: Bounds, rows_per_block: int = 2048) -> DataFrame:
-    """Links (a, b) between sets of one column that ``label`` has in different components, enough to tie each cell."""
-    rows = found.join(label, "sig", "left").select("sig", F.coalesce("component", "sig").alias("component"), F.explode("grams").alias("g"))
-    rows = rows.select("sig", "component", F.col("g.h").alias("h"), F.ceil(F.col("g.df") / rows_per_block).alias("parts"))
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("sig", F.lit(3)), F.col("parts")))
-    # a column of p blocks is p * (p + 1) / 2 cells; a row goes to the cells of its block
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-    rows = rows.select("sig", "component", F.xxhash64("h", F.least("own", "other"), F.greatest("own", "other")).alias("cell"))
-    several = rows.groupBy("cell").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.bit_xor("sig").alias("members"), F.bit_xor(F.xxhash64("sig")).alias("again"), F.count("*").alias("k"))
-    # columns with the same members are compared once
-    several = several.where("x != y").groupBy("members", "again", "k").agg(F.min("cell").alias("cell")).select("cell")
-    rows = session.stage(rows.join(several, "cell", "left_semi"), "cells")
-    rows = rows.join(sets.select("sig", "n", "members"), "sig")
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(_ties(frame, bounds), columns=["a", "b"], dtype=np.int64)
-
-    rows = rows.withColumn("task", F.pmod(F.col("cell"), F.lit(_spread(found, 20_000))))
-    return rows.groupBy("task").applyInPandas(run, "a long, b long")
-
-
-def _ties(frame: pd.DataFrame, bounds: Bounds) -> list[tuple[int, int]]:
-    """Verified links between the components of some cells' sets: at most one fewer than there are components."""
-    up: dict[int, int] = {}
-
-    def root(x: int) -> int:
-        while x in up:
-            x = up[x]
-        return x
-
-    members = {s: np.frombuffer(m, U64) for s, m in zip(frame["sig"], frame["members"])}
-    maps = {s: _parity(m, _bits_for(len(m))).tobytes() for s, m in members.items()}
-    out, refused = [], set()
-    for _, cell in frame.groupby("cell", sort=False):
-        cell = cell.drop_duplicates("sig")
-        for a, b, of_a, of_b in _sift(cell, [maps[s] for s in cell["sig"]], root, bounds):
-            low, high = sorted((root(of_a), root(of_b)))
-            if low == high or (a, b) in refused:
-                continue
-            x, y = members[a], members[b]
-            shared = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
-            if bounds.linked(shared, len(x), len(y)):
-                up[high] = low
-                out.append((a, b))
-            else:
-                if len(refused) >= 1 << 17:  # only a memory of comparisons, made again when forgotten
-                    refused.clear()
-                refused.add((a, b))
-    return out
-
-
-def _sift(cell: pd.DataFrame, maps: list[bytes], root: Callable[[int], int], bounds: Bounds, step: int = 64) -> Iterator[tuple[int, int, int, int]]:
-    """Pairs of a cell, with their components, that sizes and parity bitmaps let through and ``root`` has not yet tied."""
-    sig, n, comp = (cell[c].to_numpy(np.int64) for c in ("sig", "n", "component"))
-    order = np.argsort(n, kind="stable")
-    sig, n, comp = sig[order], n[order], comp[order]
-    maps = [maps[i] for i in order]
-    lengths = np.array([len(m) for m in maps])
-    for width in np.unique(lengths):  # a partner's bitmap has this length, or folds to it
-        base, wide = np.flatnonzero(lengths == width), np.flatnonzero(lengths == 2 * width)
-        grid = np.frombuffer(b"".join(maps[i] for i in base), np.uint8).reshape(len(base), width)
-        more = np.frombuffer(b"".join(maps[i] for i in wide), np.uint8).reshape(len(wide), 2 * width)
-        both = np.concatenate([grid, more[:, :width] ^ more[:, width:]]).view(U64)
-        index = np.concatenate([base, wide])
-        size = n[index]
-        for lo in range(0, len(base), step):
-            who = np.array([root(int(c)) for c in comp[index]], np.int64)
-            hi = min(lo + step, len(base))
-            to = int(np.searchsorted(size, size[hi - 1] * 100 // bounds.percent, side="right"))
-            ok = who[lo:hi, None] != who[None, lo:to]
-            ok &= bounds.percent * size[None, lo:to] <= 100 * size[lo:hi, None]
-            ok &= np.arange(hi - lo)[:, None] < np.arange(to - lo)[None, :]
-            if not ok.any():
-                continue
-            differ = np.bitwise_count(both[lo:hi, None, :] ^ both[None, lo:to, :]).sum(2, dtype=np.int64)
-            ok &= differ <= bounds.most_different(size[lo:hi, None], size[None, lo:to])
-            for i, j in zip(*np.nonzero(ok)):
-                x, y = sorted((int(sig[index[lo + i]]), int(sig[index[lo + j]])))
-                yield x, y, int(who[lo + i]), int(who[lo + j])
+    centre = cells.groupBy("h").agg(F.max_by(F.struct("sig", "n"), F.struct("typical", -F.col("sig"))).alias("c"))
+    both = cells.join(centre, "h").where("sig != c.sig").where(100 * F.least("n", "c.n") >= bounds.percent * F.greatest("n", "c.n"))
+    pairs = both.groupBy(F.col("sig").alias("a"), F.col("c.sig").alias("b")).agg(F.count("*").alias("overlap"))
+    return pairs.groupBy("a").agg(F.max_by("b", F.struct("overlap", -F.col("b"))).alias("b"))
 
 
 def links(documents: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
@@ -356,8 +248,8 @@ def links(documents: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataF
     sets = whole_sets(documents, rows, found, size)
     near = session.stage(verified(session.stage(_centre_pairs(found, bounds), "centres"), sets, bounds).select("a", "b"), "near")
     label = components(near, "a", "b").select(F.col("id").alias("sig"), "component")
-    rest = session.stage(_other_links(found, sets, label, bounds), "near")
-    return rows, near.unionByName(rest)
+    columns = found.select("sig", F.explode("grams.h").alias("group"))
+    return rows, near.unionByName(groups.tie(columns, label, sets, bounds, lambda p: verified(p, sets, bounds)))
 
 
 def named_rows(rows: DataFrame, near: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tablelab.llm import catalogue, components, decontaminate, fingerprints, jaccard, language, licences, line_dedup, lm, mixing, toxicity, warc, words
+from tablelab.llm import catalogue, components, decontaminate, fingerprints, groups, jaccard, language, licences, line_dedup, lm, mixing, toxicity, warc, words
 
 BLANKS = " \t\n\x0b\x0c\r"
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long, score double, key string"
@@ -119,13 +119,15 @@ def test_jaccard_columns_are_cut_into_blocks(spark):
     alike = lambda a, b: 100 * len(whole[a] & whole[b]) >= 80 * len(whole[a] | whole[b])
     assert len(whole) == 60 and all(alike(a, b) for a in whole for b in whole)
     for k in (7, 4096):
-        links = jaccard._other_links(found, sets, none, bounds, rows_per_block=k)
+        columns = found.select("sig", F.explode("grams.h").alias("group"))
+        links = groups.tie(columns, none, sets, bounds, lambda p: jaccard.verified(p, sets, bounds), limit=k)
         assert all(alike(r["a"], r["b"]) for r in links.collect())
         tied = components.components(links, "a", "b").collect()
         assert {r["id"] for r in tied} == set(whole) and len({r["component"] for r in tied}) == 1
 
 
-def test_ties_reach_what_all_links_reach():
+@pytest.mark.parametrize("limit", [3, 1000])
+def test_ties_reach_what_all_links_reach(spark, limit):
     rng, sets = np.random.default_rng(11), []
     for _ in range(12):  # chains of near sets around the threshold, of several sizes
         now = rng.integers(1, 1 << 62, int(rng.choice([6, 40, 150])), dtype=np.uint64)
@@ -133,22 +135,26 @@ def test_ties_reach_what_all_links_reach():
             now = now.copy()
             now[rng.integers(0, len(now), max(1, len(now) // int(rng.choice([9, 12, 30]))))] = rng.integers(1, 1 << 62, dtype=np.uint64)
             sets.append(np.unique(now))
-    rows = [(i, cell, i, len(s), s.tobytes()) for i, s in enumerate(sets) for cell in {i // 9, (i + 4) // 9 + 100}]
-    frame = pd.DataFrame(rows, columns=["sig", "cell", "component", "n", "members"]).sample(frac=1, random_state=1)
+    rows = [(i, cell) for i in range(len(sets)) for cell in {i // 9, (i + 4) // 9 + 100}]
     alike = lambda a, b: 100 * len(np.intersect1d(a, b)) >= 80 * len(np.union1d(a, b))
-    cells = frame.groupby("cell")["sig"].apply(list)
-    links = {(min(a, b), max(a, b)) for own in cells for a in own for b in own if a != b and alike(sets[a], sets[b])}
+    members = {}
+    for i, cell in rows:
+        members.setdefault(cell, []).append(i)
+    links = {(min(a, b), max(a, b)) for own in members.values() for a in own for b in own if a != b and alike(sets[a], sets[b])}
 
-    def groups(pairs):
+    def label_of(pairs):
         label = list(range(len(sets)))
         for _ in sets:
             for a, b in pairs:
                 label[a] = label[b] = min(label[a], label[b])
         return label
 
-    got = jaccard._ties(frame, jaccard.Bounds(80))
-    assert set(got) <= links and groups(got) == groups(links)
-    assert 20 < len(got) < len(links)
+    frame = spark.createDataFrame([(i, len(x), bytearray(x.tobytes())) for i, x in enumerate(sets)], "sig long, n long, members binary")
+    none, bounds = spark.createDataFrame([], "sig long, component long"), jaccard.Bounds(80)
+    groups_of = spark.createDataFrame(rows, "sig long, group long")
+    got = [(r["a"], r["b"]) for r in groups.tie(groups_of, none, frame, bounds, lambda p: jaccard.verified(p, frame, bounds), limit).collect()]
+    assert set(got) <= links and label_of(got) == label_of(links)
+    assert 20 < len(got) <= len(links)
 
 
 def test_jaccard_odd_rows(spark):
