@@ -6,10 +6,11 @@ of them, named by the token there, so linked documents stay together along at le
 others part. All trees start at the whole table with positions of their own. Nodes of one document end. Small nodes are compared
 exhaustively; larger ones branch again, unless links found so far have tied all their documents together. Trees are independent, so the
 chance to miss a link falls with their number: at similarity 0.85 it is below 1e-6 for a node that is small after
-its first branching, and about 0.3 ** trees for one that branches on and on.
+its first branching; a path goes on with one child on average.
 
-Equal sets are one vertex from the start, and every set is first verified against the one centre it shares most nodes with; this
-ties large groups of copies by a number of pairs that grows with their rows. All links are confirmed on whole sets.
+Equal sets are one vertex from the start, and at each depth every set is first verified against one centre, that it
+shares most nodes with; this ties large groups of copies by a number of pairs that grows with their rows. What is still
+large at the last depth is compared too (``groups.tie``). All links are confirmed on whole sets.
 
 Defined cases: null texts and texts without words are empty sets, linked with nothing and kept; shorter ones than an
 n-gram are one n-gram; repeated rows and documents of one id are rows of their own; a null id is never the id of a component
@@ -81,41 +82,52 @@ def first_nodes(prints: DataFrame, trees: int, branching: int) -> DataFrame:
     return prints.select("sig", F.explode(children).alias("node"))
 
 
-def next_nodes(rows: DataFrame, nodes: DataFrame, prints: DataFrame, branching: int) -> DataFrame:
-    """node, sig: the children of ``nodes``, with the positions that each node selects."""
-    pick = F.filter(F.sequence(F.lit(0), F.lit(TOKENS - 1)), lambda j: F.pmod(F.xxhash64("node", j), F.lit(TOKENS)) < branching)
-    pick = F.when(F.size(pick) > 0, pick).otherwise(F.array(F.pmod(F.xxhash64("node"), F.lit(TOKENS)).cast("int")))
+def next_nodes(rows: DataFrame, nodes: DataFrame, prints: DataFrame, percent: int) -> DataFrame:
+    """node, sig: the children of ``nodes``. A node selects every position with a chance that keeps linked documents together in one child on average."""
+    pick = F.filter(F.sequence(F.lit(0), F.lit(TOKENS - 1)), lambda j: F.pmod(F.xxhash64("node", j), F.lit(percent * TOKENS)) < 100)
     chosen = nodes.select("node", F.explode(pick).alias("position"))
     return rows.join(chosen, "node").join(prints.select("sig", "tokens"), "sig").select(_child(F.col("node"), F.col("position"), "tokens").alias("node"), "sig")
 
 
-def shared(rows: DataFrame, name: str) -> DataFrame:
-    """node, sig, centre of nodes with several documents; stored. The centre is the smallest vertex."""
-    sizes = rows.groupBy("node").agg(F.count("*").alias("k"), F.min("sig").alias("centre")).where("k > 1")
-    return session.stage(rows.join(sizes, "node").select("node", "sig", "centre"), name)
+def shared(rows: DataFrame) -> DataFrame:
+    """node, sig, centre of nodes with several documents; stored. The centre is the vertex of smallest hash with the node."""
+    sizes = rows.groupBy("node").agg(F.count("*").alias("k"), F.min_by("sig", F.xxhash64("node", "sig")).alias("centre")).where("k > 1")
+    return session.stage(rows.join(sizes, "node").select("node", "sig", "centre"), "level")
 
 
-def centre_pairs(rows: DataFrame, least: int) -> DataFrame:
-    """a, b: each set with the centre it shares most nodes with, ``least`` at least."""
+def centre_pairs(rows: DataFrame, label: DataFrame | None, least: int) -> DataFrame:
+    """a, b: each set with the centre it shares most nodes with, ``least`` at least, unless ``label`` has both in one component."""
     pairs = rows.where("sig != centre").groupBy(F.col("sig").alias("a"), F.col("centre").alias("b")).agg(F.count("*").alias("k")).where(F.col("k") >= least)
+    if label is not None:
+        for c in ("a", "b"):
+            pairs = pairs.join(label.select(F.col("sig").alias(c), F.col("component").alias(f"of_{c}")), c, "left")
+        pairs = pairs.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b"))
     return pairs.groupBy("a").agg(F.max_by("b", F.struct("k", "b")).alias("b"))
 
 
-def leaves(rows: DataFrame, label: DataFrame, prints: DataFrame, branching: int, small: int, depth: int) -> DataFrame:
-    """group, sig of the nodes that are compared: small ones of all trees, and what is left at the last depth."""
-    found = None
-    for level in range(1, depth + 1):
-        named = rows.select("node", "sig").join(label, "sig", "left").select("node", "sig", F.coalesce("component", "sig").alias("component"))
+def grow(level: DataFrame, prints: DataFrame, verified, percent: int, least: int, small: int, depth: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Links (a, b) with centres, the label (sig, component) they give, and group, sig of the nodes left to compare.
+
+    At each depth documents are verified against centres; nodes of one component end, small ones are left to
+    compare, larger ones branch.
+    """
+    label, links, left = None, None, None
+    for at in range(1, depth + 1):
+        near = session.stage(verified(session.stage(centre_pairs(level, label, least if at == 1 else 1), "centres")).select("a", "b"), "near")
+        links = near if links is None else links.unionByName(near)
+        none = near.select(F.col("a").alias("sig"), F.col("a").alias("component")).where("false")
+        label = groups.label_of(none if label is None else label, near)
+        named = level.select("node", "sig").join(label, "sig", "left").select("node", "sig", F.coalesce("component", "sig").alias("component"))
         sizes = named.groupBy("node").agg(F.count("*").alias("k"), F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("node", "k")
         sizes = session.stage(sizes, "nodes")
-        done = sizes if level == depth else sizes.where(F.col("k") <= small)
-        leaf = rows.join(done.select("node"), "node", "left_semi").select(F.col("node").alias("group"), "sig")
-        found = leaf if found is None else found.unionByName(leaf)
+        done = sizes if at == depth else sizes.where(F.col("k") <= small)
+        leaf = level.join(done.select("node"), "node", "left_semi").select(F.col("node").alias("group"), "sig")
+        left = leaf if left is None else left.unionByName(leaf)
         large = sizes.where(F.col("k") > small).select("node")
-        if level == depth or large.isEmpty():
-            return found
-        rows = shared(next_nodes(rows.select("node", "sig"), large, prints, branching), "level")
-    raise AssertionError("unreachable")
+        if at == depth or large.isEmpty():
+            break
+        level = shared(next_nodes(level.select("node", "sig"), large, prints, percent))
+    return links, label, left
 
 
 def links(documents: DataFrame, size: int, percent: int, trees: int, branching: int, small: int, depth: int) -> tuple[DataFrame, DataFrame]:
@@ -123,18 +135,16 @@ def links(documents: DataFrame, size: int, percent: int, trees: int, branching:
     bounds = jaccard.Bounds(percent)
     rows = token_rows(documents, size)
     prints = rows.where("tokens is not null").groupBy("sig").agg(F.first("tokens").alias("tokens"))
-    level = shared(first_nodes(prints, trees, branching), "level")
+    level = shared(first_nodes(prints, trees, branching))
     prints = rows.where("tokens is not null").select("sig", "tokens").join(level.select("sig").distinct(), "sig", "left_semi").dropDuplicates(["sig"])
     prints = session.stage(prints, "prints")
     sets = jaccard.whole_sets(documents, rows.select("doc_id", "sig"), prints, size)
-    pairs = session.stage(centre_pairs(level, least=max(1, trees * branching // 3)), "centres")
-    near = session.stage(jaccard.verified(pairs, sets, bounds).select("a", "b"), "near")
-    label = components(near, "a", "b").select(F.col("id").alias("sig"), "component")
-    nodes = leaves(level, label, prints, branching, small, depth)
-    return rows, near.unionByName(groups.tie(nodes, label, sets, bounds, lambda p: jaccard.verified(p, sets, bounds)))
+    verified = lambda pairs: jaccard.verified(pairs, sets, bounds)
+    near, label, left = grow(level, prints, verified, percent, max(1, trees * branching // 3), small, depth)
+    return rows, near.unionByName(groups.tie(left, label, sets, bounds, verified))
 
 
-def join_groups(documents: DataFrame, size: int = 5, percent: int = 85, trees: int = 12, branching: int = 2, small: int = 256, depth: int = 12) -> DataFrame:
+def join_groups(documents: DataFrame, size: int = 5, percent: int = 85, trees: int = 12, branching: int = 2, small: int = 256, depth: int = 6) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links, itself included), kept of each row."""
     rows, near = links(documents, size, percent, trees, branching, small, depth)
     named = jaccard.named_rows(rows.select("doc_id", "n_shingles", "sig"), near)

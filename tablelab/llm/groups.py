@@ -2,13 +2,15 @@
 
 A group may be of any size. Rows of its largest component so far only meet the rows of other components: the
 former are cut into blocks, the latter go to every block, so a large group of copies costs one pass over its rows.
-Inside a cell, sizes and parity bitmaps (about one bit a member) leave out nearly all pairs below the bound; a pair is
-passed on only while it would tie two components. Pairs that the bitmaps call surely linked count as tied at once; if the
-whole sets then refuse one, its group is compared again without that shortcut, so no link is lost.
+Inside a cell, sizes and parity bitmaps (some bits a member) leave out nearly all pairs below the bound. Of the others only
+a few of every two components are asked for, surest first; then the two count as tied. Whole sets decide. A group in
+which they refuse what counted as tied is compared again, with more pairs of two components, until none is left: no
+link is lost, and candidates stay in proportion to the rows.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -18,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablelab import session
+from tablelab.llm.components import components
 
 U64 = np.uint64
 SIDE_MAIN, SIDE_OTHER, SIDE_ALL = 0, 1, 2
@@ -25,7 +28,7 @@ SIDE_MAIN, SIDE_OTHER, SIDE_ALL = 0, 1, 2
 
 def _width(n: int) -> int:
     """Bits of the bitmap of a set of n members; sets of similar size have this width, or half or twice it."""
-    return max(256, 1 << int(n - 1).bit_length())
+    return max(256, 1 << int(8 * n - 1).bit_length())
 
 
 def _parity(members: np.ndarray) -> bytes:
@@ -80,8 +83,8 @@ def cells(rows: DataFrame, sizes: DataFrame, limit: int) -> DataFrame:
     return rows.select("group", "sig", "component", F.explode(where).alias("e")).select("group", "e.cell", "e.side", "sig", "component")
 
 
-def _sift(cell: pd.DataFrame, root: Callable[[int], int], bounds, step: int = 64) -> Iterator[tuple[int, int, int, int, bool]]:
-    """Pairs (places in the cell), their components, and whether the bitmaps are sure, of different components and within the bounds."""
+def _sift(cell: pd.DataFrame, root: Callable[[int], int], bounds, step: int = 64) -> Iterator[tuple[int, int]]:
+    """Pairs (places in the cell) of different components that may be linked, surest first in each block of rows."""
     n, comp, side = (cell[c].to_numpy(np.int64) for c in ("n", "component", "side"))
     order = np.argsort(n, kind="stable")
     n, comp, side = n[order], comp[order], side[order]
@@ -108,52 +111,68 @@ def _sift(cell: pd.DataFrame, root: Callable[[int], int], bounds, step: int = 64
             x += lo
             differ = np.concatenate([np.bitwise_count(both[x[i : i + 4096]] ^ both[y[i : i + 4096]]).sum(1, dtype=np.int64) for i in range(0, len(x), 4096)])
             most = bounds.most_different(size[x], size[y])
-            near = differ <= most
-            expected = 4.0 * width * -np.expm1(-most / (4.0 * width))  # differing bits of sets that differ by ``most``
-            sure = differ + 4 * np.sqrt(differ + 1.0) <= expected
-            for i, j, s in zip(x[near], y[near], sure[near]):
-                yield int(order[index[i]]), int(order[index[j]]), int(comp[index[i]]), int(comp[index[j]]), bool(s)
+            near = np.flatnonzero(differ <= most)
+            for k in near[np.argsort(differ[near] / most[near].clip(1), kind="stable")]:
+                yield int(order[index[x[k]]]), int(order[index[y[k]]])
 
 
-def _pairs(rows: DataFrame, maps: DataFrame, bounds, hopeful: bool, rows_per_task: int = 20_000) -> DataFrame:
-    """Candidates (group, a, b, sure) of the cells ``rows``; stored. ``hopeful``: sure pairs count as tied."""
+def _pairs(rows: DataFrame, maps: DataFrame, bounds, each: int, rows_per_task: int = 20_000) -> DataFrame:
+    """Candidates (group, a, b, tie) of the cells ``rows``; stored. ``tie``: from here on the two components counted as tied."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        out, up = [], {}
+        out, up, asked = [], {}, Counter()
 
         def root(x: int) -> int:
             while x in up:
                 x = up[x]
             return x
 
-        for _, cell in frame.groupby("cell", sort=False):
-            sig, group = cell["sig"].to_numpy(), cell["group"].to_numpy()
-            for i, j, of_i, of_j, sure in _sift(cell, root, bounds):
-                low, high = sorted((root(of_i), root(of_j)))
+        for _, cell in frame.sample(frac=1, random_state=each).groupby("cell", sort=False):
+            sig, group, comp = (cell[c].to_numpy() for c in ("sig", "group", "component"))
+            for i, j in _sift(cell, root, bounds):
+                low, high = sorted((root(int(comp[i])), root(int(comp[j]))))
                 if low == high:
                     continue
-                a, b = sorted((int(sig[i]), int(sig[j])))
-                out.append((int(group[i]), a, b, sure))
-                if sure and hopeful:
+                asked[low, high] += 1
+                tie = asked[low, high] >= each
+                out.append((int(group[i]), *sorted((int(sig[i]), int(sig[j]))), tie))
+                if tie:
                     up[high] = low
-        return pd.DataFrame(out, columns=["group", "a", "b", "sure"]).astype({"group": np.int64, "a": np.int64, "b": np.int64, "sure": bool})
+        return pd.DataFrame(out, columns=["group", "a", "b", "tie"]).astype({"group": np.int64, "a": np.int64, "b": np.int64, "tie": bool})
 
     rows = session.stage(rows, "cells")
     tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows.count() // rows_per_task)
     rows = rows.join(maps, "sig").withColumn("task", F.pmod("cell", F.lit(tasks)))
-    return session.stage(rows.groupBy("task").applyInPandas(run, "group long, a long, b long, sure boolean"), "pairs")
+    return session.stage(rows.groupBy("task").applyInPandas(run, "group long, a long, b long, tie boolean"), "pairs")
 
 
 def tie(members: DataFrame, label: DataFrame, sets: DataFrame, bounds, verified: Callable[[DataFrame], DataFrame], limit: int = 1024) -> DataFrame:
     """Links (a, b) between rows of one group (columns group, sig of ``members``), beyond those in ``label`` (sig, component); stored."""
     maps = bitmaps(sets)
-    rows, sizes = mixed(members, label)
-    pairs = _pairs(cells(rows, sizes, limit), maps, bounds, hopeful=True)
-    links = session.stage(verified(session.stage(pairs.select("a", "b").distinct(), "asked")).select("a", "b"), "near")
-    wrong = session.stage(pairs.where("sure").join(links, ["a", "b"], "left_anti").select("group").distinct(), "wrong")
-    if wrong.isEmpty():
-        return links
-    again = rows.join(wrong, "group", "left_semi"), sizes.join(wrong, "group", "left_semi")
-    pairs = _pairs(cells(*again, limit), maps, bounds, hopeful=False)
-    asked = session.stage(pairs.select("a", "b").distinct().join(links, ["a", "b"], "left_anti"), "asked")
-    return links.unionByName(session.stage(verified(asked).select("a", "b"), "near")).distinct()
+    links, each = None, 1
+    while True:
+        rows, sizes = mixed(members, label)
+        pairs = _pairs(cells(rows, sizes, limit), maps, bounds, each)
+        asked = pairs.select("a", "b").distinct()
+        more = session.stage(verified(session.stage(asked, "asked")).select("a", "b"), "near")
+        links = more if links is None else links.unionByName(more)
+        # groups in which two components that counted as tied are not
+        names = label_of(label, more)
+        ends = pairs.where("tie").join(names.select(F.col("sig").alias("a"), F.col("component").alias("x")), "a", "left").join(names.select(F.col("sig").alias("b"), F.col("component").alias("y")), "b", "left")
+        wrong = session.stage(ends.where(F.coalesce("x", "a") != F.coalesce("y", "b")).select("group").distinct(), "wrong")
+        if wrong.isEmpty():
+            return links.distinct()
+        members, label, each = rows.join(wrong, "group", "left_semi").select("group", "sig"), names, 4 * each
+
+
+def label_of(label: DataFrame, links: DataFrame) -> DataFrame:
+    """``label`` (sig, component) with the components that ``links`` (a, b) between rows tie together; stored."""
+    both = links.select("a", "b")
+    for c in ("a", "b"):
+        own = label.select(F.col("sig").alias(c), F.col("component").alias(f"of_{c}"))
+        both = both.join(own, c, "left").withColumn(f"of_{c}", F.coalesce(f"of_{c}", c))
+    both = session.stage(both.select("a", "b", "of_a", "of_b"), "ends")
+    joined = components(both, "of_a", "of_b")
+    known = label.unionByName(both.select(F.explode(F.array(F.struct(F.col("a").alias("sig"), F.col("of_a").alias("component")), F.struct(F.col("b").alias("sig"), F.col("of_b").alias("component")))).alias("e")).select("e.*")).distinct()
+    named = known.join(joined.withColumnRenamed("component", "least"), known["component"] == joined["id"], "left")
+    return session.stage(named.select("sig", F.coalesce("least", "component").alias("component")), "label")
