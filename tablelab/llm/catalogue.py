@@ -56,9 +56,10 @@ def with_topic(documents: DataFrame) -> DataFrame:
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = with_topic(_table(spark, sf_dir, "documents")).select("doc_id", "text", "source", "lang", "topic")
+    rows = with_topic(_table(spark, sf_dir, "documents")).select("doc_id", "source", "lang", "topic", mixing.tokens().alias("n_tokens"))
     targets = {"source": SOURCE_TARGETS, "lang": LANGUAGE_TARGETS, "topic": TOPIC_TARGETS}
-    return mixing.mix(rows, targets, budget=0.3).select("doc_id", "source", "lang", "topic", "n_tokens", "rate", "kept")
+    mixed = mixing.mix(session.stage(rows, "counted"), targets, budget=0.3, counted="n_tokens")
+    return mixed.select("doc_id", "source", "lang", "topic", "n_tokens", "rate", "kept")
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -144,7 +144,7 @@ def links(documents: DataFrame, size: int, percent: int, trees: int, branching:
     return rows, near.unionByName(groups.tie(left, label, sets, bounds, verified))
 
 
-def join_groups(documents: DataFrame, size: int = 5, percent: int = 85, trees: int = 12, branching: int = 2, small: int = 256, depth: int = 6) -> DataFrame:
+def join_groups(documents: DataFrame, size: int = 5, percent: int = 85, trees: int = 12, branching: int = 2, small: int = 256, depth: int = 3) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links, itself included), kept of each row."""
     rows, near = links(documents, size, percent, trees, branching, small, depth)
     named = jaccard.named_rows(rows.select("doc_id", "n_shingles", "sig"), near)

@@ -162,7 +162,7 @@ def tie(members: DataFrame, label: DataFrame, sets: DataFrame, bounds, verified:
         wrong = session.stage(ends.where(F.coalesce("x", "a") != F.coalesce("y", "b")).select("group").distinct(), "wrong")
         if wrong.isEmpty():
             return links.distinct()
-        members, label, each = rows.join(wrong, "group", "left_semi").select("group", "sig"), names, 4 * each
+        members, label, each = rows.join(wrong, "group", "left_semi").select("group", "sig"), names, 16 * each
 
 
 def label_of(label: DataFrame, links: DataFrame) -> DataFrame:

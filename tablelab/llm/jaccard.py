@@ -221,7 +221,8 @@ def verified(pairs: DataFrame, sets: DataFrame, bounds: Bounds) -> DataFrame:
     # at most 2**18 slots of hashed vertices go to all tasks, to leave out other sets before the shuffle
     slot = lambda c: F.pmod(F.col(c), F.lit(1 << 18))
     slots = pairs.select(F.explode(F.array("a", "b")).alias("v")).select(slot("v").alias("slot")).distinct()
-    asked = sets.withColumn("slot", slot("sig")).join(F.broadcast(slots), "slot", "left_semi")
+    # copies that the bitmap of ``whole_sets`` let through fall together where the join needs them anyway
+    asked = sets.withColumn("slot", slot("sig")).join(F.broadcast(slots), "slot", "left_semi").groupBy("sig").agg(F.first("members").alias("members"))
     left = asked.select(F.col("sig").alias("a"), F.col("members").alias("x"))
     right = asked.select(F.col("sig").alias("b"), F.col("members").alias("y"))
     rows = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y")

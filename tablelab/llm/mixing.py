@@ -1,10 +1,12 @@
 """Sampling documents so that token shares meet target marginals, in DataFrame functions only.
 
 Tokens are counted in cells (one for each combination of the marginal columns). Iterative proportional fitting
-rakes the cells' weights: each step divides the target share of every level by the share it has now and
-multiplies the level's cells by it, one column after another, for a fixed number of rounds. A cell's raked
-tokens over its own tokens is its rate; rates are scaled together until the expected tokens of the sample reach
-the budget, with no rate above 1. Each document is kept if a number drawn from its id falls below its cell's rate.
+rakes the cells' shares of the sample: each step brings every level of one column to its target share, one column after
+another, until the largest miss of a margin is small. A cell cannot give more tokens than it has: cells at that bound
+stay there and the others of a level take what is left of its target, so the bound is part of the fit and not cut off
+afterwards. A cell's share of the budget over its own tokens is its rate; each document is kept if a number drawn from its id
+falls below its cell's rate. ``attained`` puts the expected shares next to the wanted ones; a level misses its target
+only if all its tokens are not enough, or no sample meets all margins at once.
 
 Cells stay a table, however many sources there are. Levels without a target share what the named levels
 leave, in proportion to their tokens; targets of levels that have no tokens are left out and the others
@@ -13,11 +15,14 @@ scaled to the rest, so no level is lost because it was not named.
 
 Defined cases: null levels are a level of their own; null and empty texts have 0 tokens and go with their cell's
 rate; cells without tokens have rate 1; repeated rows are drawn alike; rows with a null id are drawn by the
-empty id; the empty table gives the empty table.
+empty id; the empty table gives the empty table. Columns n_tokens, rate and kept of the input are replaced; other names never
+clash, as names used inside are made new.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,34 +53,54 @@ def _shares(cells: DataFrame, column: str, targets: dict[str, float]) -> DataFra
     return levels.select(column, share.alias("share"))
 
 
-def rake(cells: DataFrame, targets: dict[str, dict[str, float]], rounds: int = 8) -> DataFrame:
-    """Cells (the columns of ``targets``, n) with w: raked share of all tokens; stored."""
+def rake(cells: DataFrame, targets: dict[str, dict[str, float]], budget: float, rounds: int = 40, miss: float = 1e-4) -> DataFrame:
+    """Cells (the columns of ``targets``, n) with w, the share of the sample, and rate, the share of its tokens kept; stored.
+
+    Stops when no margin misses its target by more than ``miss``, or no longer comes closer.
+    """
     columns = list(targets)
     wanted = {c: session.stage(_shares(cells, c, targets[c]), "shares") for c in columns}
     total = cells.agg(F.sum("n")).first()[0] or 1
-    out = cells.where("n > 0").withColumn("w", F.col("n") / F.lit(float(total)))
+    size = F.lit(float(total) * budget)
+    out = session.stage(cells.where("n > 0").withColumns({"w": F.col("n") / F.lit(float(total)), "most": F.col("n") / size}), "raked")
+    before = None
     for _ in range(rounds):
         for c in columns:
-            now = out.groupBy(c).agg(F.sum("w").alias("now")).join(wanted[c], c).select(c, F.when(F.col("now") > 0, F.col("share") / F.col("now")).otherwise(0.0).alias("factor"))
-            out = out.join(now, c).withColumn("w", F.col("w") * F.col("factor")).drop("factor")
+            out = _fit(out, c, wanted[c])
         out = session.stage(out, "raked")  # the plan of a round starts at a table
-    return out
-
-
-def rates(raked: DataFrame, budget: float) -> DataFrame:
-    """Cells with rate: tokens kept of each cell's, so that ``budget`` of all tokens are expected in the sample."""
-    wanted = F.col("w") / F.col("n")
-    total, top = raked.agg(F.coalesce(F.sum("n"), F.lit(0)), F.max(wanted)).first()
-    low, high = 0.0, 1.0 / top * 1e6 if top else 1.0
-    for _ in range(48):
-        scales = [low + (high - low) * i / 16 for i in range(17)]
-        got = raked.agg(*[F.sum(F.col("n") * F.least(F.lit(1.0), wanted * F.lit(s))).alias(f"s{i}") for i, s in enumerate(scales)]).first()
-        below = [i for i in range(17) if (got[i] or 0.0) <= budget * total]
-        at = min(max(below, default=0), 15)
-        low, high = scales[at], scales[at + 1]
-        if high - low <= 1e-12 * max(high, 1e-300):
+        now = max(_miss(out, c, wanted[c]) for c in columns)
+        if now <= miss or (before is not None and before - now <= miss / 100):
             break
-    return raked.withColumn("rate", F.least(F.lit(1.0), wanted * F.lit(low)))
+        before = now
+    return out.withColumn("rate", F.least(F.lit(1.0), F.col("w") * size / F.col("n"))).drop("most")
+
+
+def _fit(cells: DataFrame, c: str, wanted: DataFrame) -> DataFrame:
+    """Bring the levels of one column to their shares; cells at their bound stay unless the level has too much."""
+    full = F.col("w") >= F.col("most")
+    now = cells.groupBy(c).agg(F.coalesce(F.sum(F.when(full, F.col("most"))), F.lit(0.0)).alias("full"), F.coalesce(F.sum(F.when(~full, F.col("w"))), F.lit(0.0)).alias("free"))
+    now = now.join(wanted, c).select(c, (F.col("full") + F.col("free") > F.col("share")).alias("less"), "share", "full", "free")
+    all_, rest = F.col("share") / (F.col("full") + F.col("free")), (F.col("share") - F.col("full")) / F.col("free")
+    now = now.select(c, "less", F.when(F.col("less"), all_).when(F.col("free") > 0, rest).otherwise(1.0).alias("factor"))
+    own = F.least("w", "most")
+    w = F.when(full & ~F.col("less"), F.col("most")).otherwise(F.least("most", own * F.col("factor")))
+    return cells.join(now, c).withColumn("w", w).drop("less", "factor")
+
+
+def _miss(cells: DataFrame, c: str, wanted: DataFrame) -> float:
+    both = cells.groupBy(c).agg(F.sum("w").alias("now")).join(wanted, c)
+    return both.agg(F.coalesce(F.max(F.abs(F.col("now") - F.col("share"))), F.lit(0.0))).first()[0]
+
+
+def attained(raked: DataFrame, targets: dict[str, dict[str, float]]) -> DataFrame:
+    """column, level, wanted, attained: target shares and the expected shares of the sample's tokens."""
+    out = None
+    for c, named in targets.items():
+        total = raked.agg(F.sum(F.col("n") * F.col("rate"))).first()[0] or 1.0
+        own = raked.groupBy(F.col(c).alias("level")).agg((F.sum(F.col("n") * F.col("rate")) / F.lit(float(total))).alias("attained"))
+        own = own.join(_shares(raked, c, named).withColumnRenamed(c, "level"), "level").select(F.lit(c).alias("column"), "level", F.col("share").alias("wanted"), "attained")
+        out = own if out is None else out.unionByName(own)
+    return out
 
 
 def draw(doc_id: str, seed: int) -> Column:
@@ -84,19 +109,26 @@ def draw(doc_id: str, seed: int) -> Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
-def mix(documents: DataFrame, targets: dict[str, dict[str, float]], budget: float = 0.5, rounds: int = 8, seed: int = 7) -> DataFrame:
+def count_cells(rows: DataFrame, columns: list[str], n: Column) -> DataFrame:
+    """Tokens ``n`` of each combination of levels; stored."""
+    level = [F.coalesce(F.col(c).cast("string"), F.lit(NONE)).alias(c) for c in columns]
+    return session.stage(rows.groupBy(*level).agg(F.sum(n).alias("n")), "cells")
+
+
+def mix(documents: DataFrame, targets: dict[str, dict[str, float]], budget: float = 0.5, rounds: int = 40, seed: int = 7, counted: str | None = None) -> DataFrame:
     """All rows with their columns and n_tokens, rate (chance to be kept) and kept.
 
-    ``targets``: for each marginal column of ``documents`` the target shares of its levels. Columns of the
-    names that are added are replaced.
+    ``targets``: for each marginal column of ``documents`` the target shares of its levels. ``counted``: a column that has the
+    number of tokens already; else ``text`` is counted, once for the cells and once for the rows. Columns of the names that are added are
+    replaced.
     """
     columns = list(targets)
-    rows = documents.withColumns({"_n": tokens(), **{f"_level_{c}": F.coalesce(F.col(c).cast("string"), F.lit(NONE)) for c in columns}})
-    cells = rows.groupBy(*[F.col(f"_level_{c}").alias(c) for c in columns]).agg(F.sum("_n").alias("n"))
-    cells = session.stage(cells, "cells")
-    table = session.stage(rates(rake(cells, targets, rounds), budget), "rates")
-    table = table.select(*[F.col(c).alias(f"_level_{c}") for c in columns], F.col("rate").alias("_rate"))
-    out = rows.join(table, [f"_level_{c}" for c in columns], "left").withColumn("_rate", F.coalesce("_rate", F.lit(1.0)))
-    out = out.withColumns({"n_tokens": F.col("_n"), "rate": F.col("_rate"), "kept": draw("doc_id", seed) < F.col("_rate")})
+    n = F.col(counted) if counted else tokens()
+    table = session.stage(rake(count_cells(documents, columns, n), targets, budget, rounds), "rates")
+    mark = uuid.uuid4().hex  # no column of the input has such a name
+    table = table.select(*[F.col(c).alias(f"{c}_{mark}") for c in columns], F.col("rate").alias(f"rate_{mark}"))
+    keys = [F.coalesce(documents[c].cast("string"), F.lit(NONE)) == table[f"{c}_{mark}"] for c in columns]
+    rate = F.coalesce(f"rate_{mark}", F.lit(1.0))
+    out = documents.join(table, keys, "left")
     names = [c for c in documents.columns if c not in ("n_tokens", "rate", "kept")]
-    return out.select(*names, "n_tokens", "rate", "kept")
+    return out.select(*names, n.alias("n_tokens"), rate.alias("rate"), (draw("doc_id", seed) < rate).alias("kept"))

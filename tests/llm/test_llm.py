@@ -199,9 +199,9 @@ def test_mixing_meets_its_targets(spark):
     rng = random.Random(2)
     rows = [(i, "w " * rng.randint(1, 50), rng.choice(["a", "b", None]), rng.choice(["x", "y", "z"])) for i in range(3_000)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
-    got = mixing.mix(frame, {"source": {"a": 0.5, "b": 0.3}, "lang": {"x": 0.2, "y": 0.3, "z": 0.5}}, budget=0.2, rounds=12).toPandas()
+    got = mixing.mix(frame, {"source": {"a": 0.5, "b": 0.3}, "lang": {"x": 0.2, "y": 0.3, "z": 0.5}}, budget=0.2).toPandas()
     mass = got["n_tokens"] * got["rate"]
-    assert mass.sum() / got["n_tokens"].sum() == pytest.approx(0.2, abs=1e-6)
+    assert mass.sum() / got["n_tokens"].sum() == pytest.approx(0.2, abs=1e-4)
     for column, want in (("source", {"a": 0.5, "b": 0.3}), ("lang", {"x": 0.2, "y": 0.3, "z": 0.5})):
         for level, share in want.items():
             assert mass[got[column] == level].sum() / mass.sum() == pytest.approx(share, abs=1e-3)
@@ -215,18 +215,41 @@ def test_mixing_meets_its_targets(spark):
         w *= np.array([0.2, 0.3, 0.5]) / w.sum(0)
     rate = w / cells * 0.2 * cells.sum()
     first = got[(got["source"] == "a") & (got["lang"] == "y")]["rate"].iloc[0]
-    assert first == pytest.approx(rate[order.index("a"), 1], rel=1e-4)
+    assert first == pytest.approx(rate[order.index("a"), 1], rel=1e-3)
     assert mixing.mix(odd_rows(spark), {"source": {"s": 0.9}, "lang": {"en": 1.0, "xx": 3.0}}).count() == 9
     assert mixing.mix(frame.limit(0), {"source": {"a": 1.0}}).count() == 0
 
 
+def test_mixing_stays_within_what_cells_have(spark):
+    # the cell (a, x) has few tokens: it stays at rate 1 and the others of its levels make up for it
+    n = {("a", "x"): 40, ("a", "y"): 400, ("b", "x"): 400, ("b", "y"): 1000}
+    rows = [(i, "w", s, t) for i, (s, t) in enumerate(k for k, v in n.items() for _ in range(v))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, rate_of string").withColumnRenamed("rate_of", "_rate")
+    targets = {"source": {"a": 0.4, "b": 0.6}, "_rate": {"x": 0.6, "y": 0.4}}
+    raked = mixing.rake(mixing.count_cells(frame, ["source", "_rate"], mixing.tokens()), targets, budget=0.3)
+    got = {(r["column"], r["level"]): r for r in mixing.attained(raked, targets).collect()}
+    assert {k: r["wanted"] for k, r in got.items()} == {("source", "a"): 0.4, ("source", "b"): 0.6, ("_rate", "x"): 0.6, ("_rate", "y"): 0.4}
+    assert all(abs(r["wanted"] - r["attained"]) < 0.005 for r in got.values())
+    rates = {(r["source"], r["_rate"]): r["rate"] for r in mixing.mix(frame, targets, budget=0.3).distinct().collect()}
+    assert rates["a", "x"] == 1.0 and max(rates.values()) <= 1.0 and 0.2 < rates["a", "y"] < 0.5
+    # a target that no sample can meet is reported as missed
+    raked = mixing.rake(mixing.count_cells(frame, ["source"], mixing.tokens()), {"source": {"a": 0.9}}, budget=0.5)
+    got = {r["level"]: r["attained"] for r in mixing.attained(raked, {"source": {"a": 0.9}}).collect()}
+    assert 0.8 < got["a"] < 0.87
+
+
+def test_mixing_takes_clashing_names(spark):
+    got = mixing.mix(odd_rows(spark).withColumnsRenamed({"score": "_n", "key": "n_tokens"}), {"source": {"s": 0.9}})
+    assert got.count() == 9 and sorted(got.columns) == sorted(["doc_id", "text", "lang", "source", "n_chars", "_n", "n_tokens", "rate", "kept"])
+
+
 def test_levels_without_a_target_are_not_lost(spark, tmp_path):
     rng = random.Random(3)
     rows = [(i, "w " * rng.randint(20, 50), rng.choice(["en", "de", "fr", "es", "it", None]), f"src{i % 3}") for i in range(600)]
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
     got = catalogue.op4_mixing(spark, str(tmp_path)).toPandas()
     mass, n = got["n_tokens"] * got["rate"], got["n_tokens"]
-    assert mass.sum() / n.sum() == pytest.approx(0.3, abs=1e-6)
+    assert mass.sum() / n.sum() == pytest.approx(0.3, abs=1e-4)
     for other in (got["lang"].isna(), got["lang"] == "it"):
         assert (got.loc[other, "rate"] > 0).all() and got.loc[other, "kept"].any()
         assert mass[other].sum() / mass.sum() == pytest.approx(n[other].sum() / n.sum(), abs=1e-3)
