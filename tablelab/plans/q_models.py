@@ -402,14 +402,6 @@ def gbt_fit(spark, sf):
     return M.predictions(M.boosted_trees("quality", trees=10, depth=4, rate=0.1, columns="0.5").fit(df), df, "id")
 
 
-@register()
-def boost_early_stop(spark, sf):
-    df, _ = _doc_frame(spark, sf)
-    flagged = df.withColumn("valid", hash_bucket([(F.col("id"), 7919)], 1, 10) >= 8)
-    model = M.boosted_early_stop("quality", trees=10, depth=3).fit(flagged)
-    return M.predictions(model, flagged, "id").withColumn("trees", F.lit(model.getNumTrees))
-
-
 @register()
 def logit_enet(spark, sf):
     df, _ = _doc_frame(spark, sf)
