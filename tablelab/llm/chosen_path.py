@@ -8,7 +8,7 @@ exhaustively; larger ones branch again, unless links found so far have tied all
 chance to miss a link falls with their number: at similarity 0.85 it is below 1e-6 for a node that is small after
 its first branching; a path goes on with one child on average.
 
-Equal sets are one vertex from the start, and at each depth every set is first verified against one centre, that it
+Equal sets are one vertex from the start, and every set is first verified against one centre, that it
 shares most nodes with; this ties large groups of copies by a number of pairs that grows with their rows. What is still
 large at the last depth is compared too (``groups.tie``). All links are confirmed on whole sets.
 
@@ -95,28 +95,16 @@ def shared(rows: DataFrame) -> DataFrame:
     return session.stage(rows.join(sizes, "node").select("node", "sig", "centre"), "level")
 
 
-def centre_pairs(rows: DataFrame, label: DataFrame | None, least: int) -> DataFrame:
-    """a, b: each set with the centre it shares most nodes with, ``least`` at least, unless ``label`` has both in one component."""
+def centre_pairs(rows: DataFrame, least: int) -> DataFrame:
+    """a, b: each set with the centre it shares most nodes with, ``least`` at least."""
     pairs = rows.where("sig != centre").groupBy(F.col("sig").alias("a"), F.col("centre").alias("b")).agg(F.count("*").alias("k")).where(F.col("k") >= least)
-    if label is not None:
-        for c in ("a", "b"):
-            pairs = pairs.join(label.select(F.col("sig").alias(c), F.col("component").alias(f"of_{c}")), c, "left")
-        pairs = pairs.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b"))
     return pairs.groupBy("a").agg(F.max_by("b", F.struct("k", "b")).alias("b"))
 
 
-def grow(level: DataFrame, prints: DataFrame, verified, percent: int, least: int, small: int, depth: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Links (a, b) with centres, the label (sig, component) they give, and group, sig of the nodes left to compare.
-
-    At each depth documents are verified against centres; nodes of one component end, small ones are left to
-    compare, larger ones branch.
-    """
-    label, links, left = None, None, None
+def leaves(level: DataFrame, label: DataFrame, prints: DataFrame, percent: int, small: int, depth: int) -> DataFrame:
+    """group, sig of the nodes left to compare. Nodes of one component end, small ones are left to compare, larger ones branch."""
+    left = None
     for at in range(1, depth + 1):
-        near = session.stage(verified(session.stage(centre_pairs(level, label, least if at == 1 else 1), "centres")).select("a", "b"), "near")
-        links = near if links is None else links.unionByName(near)
-        none = near.select(F.col("a").alias("sig"), F.col("a").alias("component")).where("false")
-        label = groups.label_of(none if label is None else label, near)
         named = level.select("node", "sig").join(label, "sig", "left").select("node", "sig", F.coalesce("component", "sig").alias("component"))
         sizes = named.groupBy("node").agg(F.count("*").alias("k"), F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("node", "k")
         sizes = session.stage(sizes, "nodes")
@@ -127,7 +115,7 @@ def grow(level: DataFrame, prints: DataFrame, verified, percent: int, least: int
         if at == depth or large.isEmpty():
             break
         level = shared(next_nodes(level.select("node", "sig"), large, prints, percent))
-    return links, label, left
+    return left
 
 
 def links(documents: DataFrame, size: int, percent: int, trees: int, branching: int, small: int, depth: int) -> tuple[DataFrame, DataFrame]:
@@ -140,7 +128,10 @@ def links(documents: DataFrame, size: int, percent: int, trees: int, branching:
     prints = session.stage(prints, "prints")
     sets = jaccard.whole_sets(documents, rows.select("doc_id", "sig"), prints, size)
     verified = lambda pairs: jaccard.verified(pairs, sets, bounds)
-    near, label, left = grow(level, prints, verified, percent, max(1, trees * branching // 3), small, depth)
+    pairs = session.stage(centre_pairs(level, max(1, trees * branching // 3)), "centres")
+    near = session.stage(verified(pairs).select("a", "b"), "near")
+    label = components(near, "a", "b").select(F.col("id").alias("sig"), "component")
+    left = leaves(level, label, prints, percent, small, depth)
     return rows, near.unionByName(groups.tie(left, label, sets, bounds, verified))
 
 

@@ -148,16 +148,17 @@ def _pairs(rows: DataFrame, maps: DataFrame, bounds, each: int, rows_per_task: i
 
 def tie(members: DataFrame, label: DataFrame, sets: DataFrame, bounds, verified: Callable[[DataFrame], DataFrame], limit: int = 1024) -> DataFrame:
     """Links (a, b) between rows of one group (columns group, sig of ``members``), beyond those in ``label`` (sig, component); stored."""
-    maps = bitmaps(sets)
-    links, each = None, 1
+    maps, links, each = None, None, 1
     while True:
         rows, sizes = mixed(members, label)
+        if maps is None:  # only of sets that are compared
+            maps = bitmaps(sets.join(rows.select("sig").distinct(), "sig", "left_semi"))
         pairs = _pairs(cells(rows, sizes, limit), maps, bounds, each)
         asked = pairs.select("a", "b").distinct()
         more = session.stage(verified(session.stage(asked, "asked")).select("a", "b"), "near")
         links = more if links is None else links.unionByName(more)
         # groups in which two components that counted as tied are not
-        names = label_of(label, more)
+        names = label if more.isEmpty() else label_of(label, more)
         ends = pairs.where("tie").join(names.select(F.col("sig").alias("a"), F.col("component").alias("x")), "a", "left").join(names.select(F.col("sig").alias("b"), F.col("component").alias("y")), "b", "left")
         wrong = session.stage(ends.where(F.coalesce("x", "a") != F.coalesce("y", "b")).select("group").distinct(), "wrong")
         if wrong.isEmpty():
