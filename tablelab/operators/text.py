@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import CountVectorizerModel, Normalizer, VectorAssembler, Word2Vec, Word2VecModel
+from pyspark.ml.feature import VectorAssembler, Word2Vec, Word2VecModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import textexpr as E
-from .ordered import top_with_ties
+from ..session import stage
+from .ordered import row_positions, top_with_ties
 from .relational import count_by, long_from_wide
 
 # Common English words; a longer list is a parameter of the operators below.
@@ -133,16 +136,35 @@ def term_matrix(docs: DataFrame, rows: DataFrame, key: str, vocab: DataFrame) ->
     return docs.select(key).join(weighted, key, "left")
 
 
-def term_vectors(docs: DataFrame, rows: DataFrame, key: str, vocab: DataFrame, max_terms: int = 10_000) -> DataFrame:
-    """Sparse vector form of the matrix. The vocabulary is model metadata, so more than ``max_terms`` are refused."""
-    terms = [r["token"] for r in vocab.select("token").limit(max_terms + 1).collect()]
-    if len(terms) > max_terms:
-        raise ValueError(f"the vocabulary has more than {max_terms} terms: prune it, or use term_matrix")
-    kept = rows.join(vocab.select("token"), "token", "left_semi")
-    words = docs.select(key).join(regroup(kept, key), key, "left")
-    words = words.withColumn("words", F.coalesce("words", F.array().cast("array<string>")))
-    model = CountVectorizerModel.from_vocabulary(sorted(terms), inputCol="words", outputCol="counts")
-    return Normalizer(inputCol="counts", outputCol="dtm", p=2.0).transform(model.transform(words)).drop("counts", "words")
+def numbered_terms(vocab: DataFrame) -> DataFrame:
+    """``token, index``: terms numbered from 0 in alphabetical order, in a table of their own."""
+    return row_positions(vocab.select("token").distinct(), [], ["token"], "__pos").select("token", (F.col("__pos") - 1).cast("int").alias("index"))
+
+
+def sparse_rows(docs: DataFrame, weights: DataFrame, key: str, terms: DataFrame) -> DataFrame:
+    """``key, indices, values``: the known terms of each document in the order of their numbers; documents without any stay."""
+    cells = weights.where("weight is not null").join(terms, "token").select(key, F.struct("index", "weight").alias("cell"))
+    rows = cells.groupBy(key).agg(F.sort_array(F.collect_list("cell")).alias("cells"))
+    filled = docs.select(key).join(rows, key, "left").withColumn("cells", F.coalesce("cells", F.array().cast("array<struct<index:int,weight:double>>")))
+    return filled.select(key, F.col("cells.index").alias("indices"), F.col("cells.weight").alias("values"))
+
+
+def as_vectors(rows: DataFrame, key: str, size: int, out: str) -> DataFrame:
+    """Sparse rows as vectors of ``size`` terms.
+
+    The rows are written once in the storage form of a vector and read back as vectors, so no row passes through
+    Python and no term through the driver.
+    """
+    stored = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"), "indices", "values")
+    schema = T.StructType([rows.schema[key], T.StructField(out, VectorUDT())])
+    return stage(rows.select(key, stored.alias(out)), "vectors", schema)
+
+
+def term_vectors(docs: DataFrame, rows: DataFrame, key: str, vocab: DataFrame) -> DataFrame:
+    """Sparse vector form of the matrix in column ``dtm``, for a vocabulary of any size."""
+    terms = stage(numbered_terms(vocab), "terms")
+    weights = term_matrix(docs, rows, key, terms)
+    return as_vectors(sparse_rows(docs, weights, key, terms), key, terms.count(), "dtm")
 
 
 def feature_matrix(style: DataFrame, dtm: DataFrame, key: str) -> DataFrame:

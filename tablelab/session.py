@@ -8,6 +8,7 @@ from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _local_folder: str | None = None
 _staged: list[str] = []
@@ -35,12 +36,15 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: cuts lineage, survives lost executors."""
+def stage(df: DataFrame, name: str = "stage", schema: StructType | None = None) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back: cuts lineage, survives lost executors.
+
+    ``schema``: types to read it back with, if other than those of ``df``.
+    """
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     _staged.append(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(schema or df.schema).parquet(path)
 
 
 def drop_staged(spark: SparkSession) -> int:

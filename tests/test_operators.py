@@ -449,11 +449,18 @@ def test_nearest_centre_of_large_coordinates_does_not_depend_on_their_number(spa
         assert r["cluster"] == 1 and r["sqdist"] == pytest.approx(0.01, rel=1e-6)
 
 
-def test_term_vectors_refuse_to_lose_terms(spark):
-    docs = spark.createDataFrame([(1,)], "id long")
-    rows = spark.createDataFrame([(1, 0, "alpha"), (1, 1, "beta"), (1, 2, "gamma")], "id long, pos int, token string")
-    with pytest.raises(ValueError):
-        text.term_vectors(docs, rows, "id", rows.select("token"), max_terms=2)
+def test_term_vectors_hold_any_number_of_terms(spark):
+    rows = spark.range(60_000).select((F.col("id") % 7).alias("id"), F.col("id").cast("int").alias("pos"), F.format_string("w%05d", F.col("id") % 50_000).alias("token"))
+    docs = spark.range(8)
+    vectors = {r["id"]: r["dtm"] for r in text.term_vectors(docs, rows, "id", rows.select("token").distinct()).collect()}
+    assert len(vectors) == 8 and all(v.size == 50_000 for v in vectors.values()) and vectors[7].numNonzeros() == 0
+    for d in range(7):
+        counts = {}
+        for i in range(d, 60_000, 7):
+            counts[i % 50_000] = counts.get(i % 50_000, 0) + 1
+        norm = math.sqrt(sum(n * n for n in counts.values()))
+        assert list(vectors[d].indices) == sorted(counts)
+        assert all(math.isclose(v, counts[i] / norm) for i, v in zip(vectors[d].indices, vectors[d].values))
 
 
 def test_split_needs_validation_rows(spark):
