@@ -119,19 +119,6 @@ def with_folds(df: DataFrame, label: str, key: str, k: int, seed: int = 3) -> Da
     return stratified_folds(df, label, key, h, k, 1_000_003)
 
 
-def ridge_path(low: float = 1e-4, high: float = 1.0, n: int = 5) -> list[float]:
-    """Log-spaced penalties, strongest first."""
-    return [float(x) for x in np.logspace(np.log10(high), np.log10(low), n)]
-
-
-def ridge_path_cv(df: DataFrame, label: str, key: str, folds: int = 10, penalties: Sequence[float] | None = None, iterations: int = 100):
-    """Ridge logistic model with the penalty of the best mean AUC over stratified folds."""
-    base = elastic_logistic(label, iterations=iterations)
-    maps = param_grid(base, {"regParam": penalties or ridge_path()})
-    auc = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
-    return search_folds(with_folds(df, label, key, folds), base, maps, auc, "fold", folds)
-
-
 def predictions(model: Model, df: DataFrame, key: str) -> DataFrame:
     """``key, prediction`` and one probability column per class: p0, p1, ..."""
     out = model.transform(df).withColumn("__p", vector_to_array("probability"))

@@ -31,6 +31,7 @@ from .models import with_folds
 
 MAX_FEATURES = 2_000
 LANES = 128
+PIECE = 1 << 16
 
 
 @dataclass
@@ -64,41 +65,43 @@ def _scaled(cross: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _design(batch: pd.DataFrame) -> np.ndarray:
-    x = np.ones((len(batch), 1 + (len(batch["x"].iloc[0]) if len(batch) else 0)))
-    if len(batch):
-        x[:, 1:] = np.stack(batch["x"].to_numpy())
-    return x
+    return np.column_stack([np.ones(len(batch)), np.stack(batch["x"].to_numpy())])
 
 
-def _summed(parts: DataFrame) -> dict[int, np.ndarray]:
-    """Sum of ``values`` for each ``id``; partial sums of many tasks are added in lanes first."""
-    schema = "id long, lane int, values array<double>"
+def _pieces(total: np.ndarray) -> pd.DataFrame:
+    """A task's sums, cut into rows of at most ``PIECE`` numbers."""
+    flat = total.ravel()
+    starts = range(0, len(flat), PIECE)
+    return pd.DataFrame({"id": range(len(starts)), "lane": TaskContext.get().partitionId() % LANES, "part": [flat[i : i + PIECE] for i in starts]})
 
-    def add(rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"id": rows["id"].iloc[:1], "lane": 0, "values": [np.sum(np.stack(rows["values"].to_numpy()), axis=0)]})
 
-    laned = parts.groupBy("id", "lane").applyInPandas(add, schema)
-    return {r["id"]: np.asarray(r["values"]) for r in laned.groupBy("id").applyInPandas(add, schema).select("id", "values").collect()}
+def _summed(rows: DataFrame, partial, shape: tuple[int, ...]) -> np.ndarray:
+    """Sum over all tasks of the array that ``partial`` makes of a task's batches; many tasks are added in lanes first."""
+    schema = "id long, lane int, part array<double>"
+
+    def of_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield _pieces(partial(batches))
+
+    def add(parts: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"id": parts["id"].iloc[:1], "lane": 0, "part": [np.sum(np.stack(parts["part"].to_numpy()), axis=0)]})
+
+    laned = rows.mapInPandas(of_task, schema).groupBy("id", "lane").applyInPandas(add, schema)
+    found = laned.groupBy("id").applyInPandas(add, schema).orderBy("id").select("part").collect()
+    return np.concatenate([r["part"] for r in found]).reshape(shape) if found else np.zeros(shape)
 
 
 def _sums(rows: DataFrame, folds: int, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Cross products of (1, features), and of these with the label, in each fold: one pass."""
 
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        totals: dict[int, np.ndarray] = {}
+    def partial(batches: Iterator[pd.DataFrame]) -> np.ndarray:
+        total = np.zeros((folds, width, width + 1))
         for batch in batches:
             for fold, part in batch.groupby("fold"):
                 x = _design(part)
-                both = x.T @ np.column_stack([x, part["y"].to_numpy()])
-                totals[fold] = totals[fold] + both if fold in totals else both
-        lane = TaskContext.get().partitionId() % LANES
-        for fold, total in totals.items():
-            yield pd.DataFrame({"id": np.arange(width) + fold * width, "lane": lane, "values": list(total)})
-
-    found = _summed(rows.mapInPandas(partial, "id long, lane int, values array<double>"))
-    sums = np.zeros((folds, width, width + 1))
-    for at, values in found.items():
-        sums[at // width, at % width] = values
+                total[fold] += x.T @ np.column_stack([x, part["y"].to_numpy()])
+        return total
+
+    sums = _summed(rows, partial, (folds, width, width + 1))
     return sums[:, :, :-1], sums[:, :, -1]
 
 
@@ -106,19 +109,20 @@ def _gradients(rows: DataFrame, weights: np.ndarray, left_out: np.ndarray) -> np
     """Gradient sums of the log loss: one row for each model (row of ``weights``); a model skips its fold ``left_out``."""
     sent = rows.sparkSession.sparkContext.broadcast((weights, left_out))
 
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def partial(batches: Iterator[pd.DataFrame]) -> np.ndarray:
         w, out = sent.value
         total = np.zeros_like(w)
         for batch in batches:
-            x = _design(batch)
-            miss = 1.0 / (1.0 + np.exp(-np.clip(x @ w.T, -500, 500))) - batch["y"].to_numpy()[:, None]
-            miss[batch["fold"].to_numpy()[:, None] == out[None, :]] = 0.0
-            total += miss.T @ x
-        yield pd.DataFrame({"id": np.arange(len(w)), "lane": TaskContext.get().partitionId() % LANES, "values": list(total)})
-
-    found = _summed(rows.mapInPandas(partial, "id long, lane int, values array<double>"))
+            if len(batch):
+                x = _design(batch)
+                miss = 1.0 / (1.0 + np.exp(-np.clip(x @ w.T, -500, 500))) - batch["y"].to_numpy()[:, None]
+                miss[batch["fold"].to_numpy()[:, None] == out[None, :]] = 0.0
+                total += miss.T @ x
+        return total
+
+    total = _summed(rows, partial, weights.shape)
     sent.destroy()
-    return np.stack([found.get(i, np.zeros(weights.shape[1])) for i in range(len(weights))])
+    return total
 
 
 def fit_path(rows: DataFrame, folds: int, penalties: Sequence[float] | None = None, n_penalties: int = 50,
@@ -197,6 +201,8 @@ def _margins(rows: DataFrame, weights: np.ndarray, keep: list[str], by_fold: boo
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         w = sent.value
         for batch in batches:
+            if not len(batch):
+                continue
             x = _design(batch)
             out = np.zeros((len(batch), w.shape[1]))
             models = batch["fold"].to_numpy() if by_fold else np.full(len(batch), len(w) - 1)

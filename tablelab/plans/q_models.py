@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler, VectorIndexer
+from pyspark.ml.feature import StandardScaler, VectorAssembler, VectorIndexer
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
@@ -12,12 +12,14 @@ from ..operators import anomaly as A
 from ..operators import evaluate as V
 from ..operators import features as P
 from ..operators import models as M
-from ..operators import sampling
+from ..operators import penalty_path, sampling
+from ..operators import text as T
 from ..operators.relational import count_by, pivot_counts
 from ..operators.text import style_features
 from ..session import cached, stage
 from . import fixtures as X
 from .fixtures import load
+from .q_text import _vocab as vocabulary_frame
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -370,67 +372,83 @@ def mlp_pixels(spark, sf):
 
 
 def _doc_frame(spark, sf):
-    """Style features of the labelled documents with both targets, staged once."""
-    c = X.comments(spark, sf).filter("split = 'train'")
+    """Style features of the labelled documents with both targets, of the others without, and their number; staged once."""
+    c = X.comments(spark, sf)
     style = style_features(c, "id", "comment_text")
     cols = [x for x in style.columns if x != "id"]
-    v = VectorAssembler(inputCols=cols, outputCol="raw").transform(style).join(c.select("id", "toxic", "quality"), "id")
-    from pyspark.ml.feature import StandardScaler
-
-    scaled = StandardScaler(inputCol="raw", outputCol="features").fit(v).transform(v)
-    out = scaled.select("id", "features", F.col("toxic").cast("double").alias("toxic"), F.col("quality").cast("double").alias("quality"))
-    return stage(out, "docs"), len(cols)
+    v = VectorAssembler(inputCols=cols, outputCol="raw").transform(style).join(c.select("id", "split", "toxic", "quality"), "id")
+    v = stage(v.withColumns({"toxic": F.col("toxic").cast("double"), "quality": F.col("quality").cast("double")}), "docs")
+    scaled = StandardScaler(inputCol="raw", outputCol="features").fit(v.filter("split = 'train'")).transform(v).drop("raw")
+    return scaled.filter("split = 'train'"), scaled.filter("split = 'test'"), len(cols)
 
 
 @register()
 def assembled_features(spark, sf):
-    df, _ = _doc_frame(spark, sf)
+    df, _, _ = _doc_frame(spark, sf)
     return df.select("id", F.col("features").cast("string").alias("features"), "toxic")
 
 
 @register()
 def cached_fit(spark, sf):
-    df, _ = _doc_frame(spark, sf)
+    df, test, _ = _doc_frame(spark, sf)
     with cached(df):
         model = M.elastic_logistic("toxic", iterations=20).fit(df)
-    return M.predictions(model, df, "id")
+    return M.predictions(model, test, "id")
 
 
 @register()
 def gbt_fit(spark, sf):
-    df, _ = _doc_frame(spark, sf)
-    return M.predictions(M.boosted_trees("quality", trees=10, depth=4, rate=0.1, columns="0.5").fit(df), df, "id")
+    df, test, _ = _doc_frame(spark, sf)
+    return M.predictions(M.boosted_trees("quality", trees=10, depth=4, rate=0.1, columns="0.5").fit(df), test, "id")
 
 
 @register()
 def logit_enet(spark, sf):
-    df, _ = _doc_frame(spark, sf)
-    return M.predictions(M.elastic_logistic("quality").fit(df), df, "id")
+    df, test, _ = _doc_frame(spark, sf)
+    return M.predictions(M.elastic_logistic("quality").fit(df), test, "id")
+
+
+def _comment_matrix(spark, sf, terms):
+    """Style columns and the most frequent terms of all documents, with both targets; stored."""
+    docs, rows, _ = vocabulary_frame(spark, sf)
+    total = load(spark, sf, "documents").agg(F.count("*").alias("n")).scalar()
+    vocab = T.vocabulary(rows, "id", total, T.word_list(spark, sorted(set(T.ENGLISH_STOP_WORDS))), max_terms=terms)
+    matrix = T.feature_matrix(T.style_features(docs, "id", "comment_text"), T.term_vectors(docs, rows, "id", vocab), "id")
+    return stage(matrix.join(docs.select("id", "split", "toxic", "quality"), "id"), "matrix")
 
 
 @register()
 def ridge_path_cv(spark, sf):
-    df, _ = _doc_frame(spark, sf)
-    _, board = M.ridge_path_cv(df, "quality", "id", folds=3, penalties=M.ridge_path(n=3), iterations=25)
-    return board
+    """Mean area under the curve of 50 penalties over 10 folds, on style columns and 400 terms."""
+    df = _comment_matrix(spark, sf, 400)
+    return penalty_path.cv_ridge(df.filter("split = 'train'"), df, "quality", "id", tolerance=1e-4)[1]
+
+
+@register()
+def ridge_path_scores(spark, sf):
+    """One probability per target for every document without labels, each at the best of 50 penalties over 10 folds."""
+    df = _comment_matrix(spark, sf, 400)
+    train, test = df.filter("split = 'train'"), df.filter("split = 'test'")
+    scored = [penalty_path.cv_ridge(train, test, t, "id", tolerance=1e-4)[0].withColumnRenamed("probability", t) for t in ("toxic", "quality")]
+    return scored[0].join(scored[1], "id")
 
 
 @register()
 def gaussian_nb(spark, sf):
-    df, _ = _doc_frame(spark, sf)
-    return M.predictions(M.gaussian_bayes("quality").fit(df), df, "id")
+    df, test, _ = _doc_frame(spark, sf)
+    return M.predictions(M.gaussian_bayes("quality").fit(df), test, "id")
 
 
 @register()
 def mlp_fit(spark, sf):
-    df, n = _doc_frame(spark, sf)
-    return M.predictions(M.feed_forward(n, [10, 10, 10, 10], 2, "quality", epochs=20).fit(df), df, "id")
+    df, test, n = _doc_frame(spark, sf)
+    return M.predictions(M.feed_forward(n, [10, 10, 10, 10], 2, "quality", epochs=50).fit(df), test, "id")
 
 
 @register()
 def fold_grid(spark, sf):
     """Grid over stratified folds with a leaderboard by AUC."""
-    df, _ = _doc_frame(spark, sf)
+    df, _, _ = _doc_frame(spark, sf)
     base = M.random_forest("quality", numTrees=5, seed=1)
     maps = M.param_grid(base, {"maxDepth": [2, 4]})
     auc = BinaryClassificationEvaluator(labelCol="quality", metricName="areaUnderROC")
@@ -440,13 +458,13 @@ def fold_grid(spark, sf):
 
 @register()
 def multi_target_scores(spark, sf):
-    """One probability per target for every document, as a submission table."""
-    df, _ = _doc_frame(spark, sf)
-    return M.score_targets(df, df, "id", ["toxic", "quality"], M.elastic_logistic())
+    """One probability per target for every document without labels, as a submission table."""
+    df, test, _ = _doc_frame(spark, sf)
+    return M.score_targets(df, test, "id", ["toxic", "quality"], M.elastic_logistic())
 
 
 @register()
 def auto_select(spark, sf):
-    df, n = _doc_frame(spark, sf)
+    df, _, n = _doc_frame(spark, sf)
     _, board = M.auto_select(df, "quality", "id", n, folds=2)
     return board
