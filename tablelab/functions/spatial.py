@@ -112,5 +112,5 @@ def contains(edge_array: Column, box: Column, x: Column, y: Column) -> Column:
     return inside_box & (crossings % 2 == 1)
 
 
-def cell(v: Column, size: float) -> Column:
+def cell(v: Column, size: float | Column) -> Column:
     return F.floor(v / size).cast("bigint")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import spatial as G
+from ..session import stage
 
 
 def polygon_table(df: DataFrame, geojson: str) -> DataFrame:
@@ -68,34 +69,61 @@ def nearest(df: DataFrame, lon: str, lat: str, center: tuple[float, float], k: i
     return df.withColumn(out, d).orderBy(out, key).limit(k)
 
 
-def zone_cells(zones: DataFrame, size: float) -> DataFrame:
-    """Every zone once per grid cell its box touches."""
-    b = F.col("box")
-    xs = F.sequence(G.cell(b["xmin"], size), G.cell(b["xmax"], size))
-    ys = F.sequence(G.cell(b["ymin"], size), G.cell(b["ymax"], size))
-    return zones.withColumn("cx", F.explode(xs)).withColumn("cy", F.explode(ys))
+#: Side of the cells of level 0 in degrees; each level halves it. Powers of two, so that a point's cell is exact.
+TOP_CELL = 512.0
+LEVELS = 40
 
 
-def cell_size(zones: DataFrame) -> float:
-    """Mean side of the zone boxes: a zone then touches a handful of cells."""
-    b = F.col("box")
-    side = zones.agg(F.avg((b["xmax"] - b["xmin"] + b["ymax"] - b["ymin"]) / 2)).first()[0]
-    return float(side) if side and side > 0 else 1.0
+def _cell_side(level: Column) -> Column:
+    return F.lit(TOP_CELL) * F.pow(F.lit(2.0), -level)
+
+
+def _meets(e: Column, left: Column, right: Column, low: Column, high: Column) -> Column:
+    """Whether an edge may meet a cell: their boxes overlap and the cell is not clearly on one side of the edge's line."""
+    dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
+    boxes = (F.greatest(e["x1"], e["x2"]) >= left) & (F.least(e["x1"], e["x2"]) <= right) & (F.greatest(e["y1"], e["y2"]) >= low) & (F.least(e["y1"], e["y2"]) <= high)
+    sides = [dx * (y - e["y1"]) - dy * (x - e["x1"]) for x in (left, right) for y in (low, high)]
+    clear = F.lit(1e-9) * (F.abs(dx) + F.abs(dy))
+    return boxes & ~((F.least(*sides) > clear) | (F.greatest(*sides) < -clear))
 
 
-def tag_zones(df: DataFrame, key: str, lon: str, lat: str, zones: DataFrame, name: str, size: float | None = None) -> DataFrame:
+def zone_cover(zones: DataFrame, cells: int = 8) -> DataFrame:
+    """``zone, level, cx, cy, inner, near, box``: every zone as cells of a level of its own, at most ``cells`` + 1 each way.
+
+    An ``inner`` cell lies in the zone as a whole. All others meet its border and carry in ``near`` the edges that
+    decide on their points: those in the cell's rows that do not end left of it. Cells outside are left out.
+    """
+    b = F.col("box")
+    wide = F.greatest(b["xmax"] - b["xmin"], b["ymax"] - b["ymin"])
+    level = F.when(wide > 0, F.floor(F.log2(F.lit(TOP_CELL * cells) / wide))).otherwise(LEVELS)
+    placed = zones.where(F.size("edges") > 0).withColumn("level", F.least(F.greatest(level, F.lit(0)), F.lit(LEVELS)).cast("int"))
+    side = _cell_side(F.col("level"))
+    spread = placed.withColumn("cx", F.explode(F.sequence(G.cell(b["xmin"], side), G.cell(b["xmax"], side))))
+    spread = spread.withColumn("cy", F.explode(F.sequence(G.cell(b["ymin"], side), G.cell(b["ymax"], side))))
+    left, low = F.col("cx") * side, F.col("cy") * side
+    right, high = left + side, low + side
+    border = F.exists("edges", lambda e: _meets(e, left, right, low, high))
+    near = F.filter("edges", lambda e: (F.greatest(e["y1"], e["y2"]) >= low) & (F.least(e["y1"], e["y2"]) <= high) & (F.greatest(e["x1"], e["x2"]) >= left))
+    inner = ~border & G.contains(F.col("edges"), b, left + side / 2, low + side / 2)
+    kept = spread.select("zone", "level", "cx", "cy", "box", border.alias("border"), inner.alias("inner"), near.alias("near")).where("border or inner")
+    return kept.select("zone", "level", "cx", "cy", "inner", F.when(F.col("border"), F.col("near")).alias("near"), "box")
+
+
+def tag_zones(df: DataFrame, key: str, lon: str, lat: str, zones: DataFrame, name: str, cells: int = 8) -> DataFrame:
     """``key, zone``: the first zone by name that contains each point; points outside all zones drop out.
 
-    Points are never multiplied: only zones are spread over cells. The join key is the cell, the exact
-    test follows, and the first match is a map-side minimum. A crowded cell is split by the planner's
-    skew handling when the zones are too many to broadcast.
+    Large and small zones give a few cells each, at levels of their own; a point is looked up once in every level that
+    has zones (``LEVELS`` + 1 at most). The exact test runs at the borders only, and the first match is a map-side
+    minimum. The cover is stored, so the planner knows its true size; a crowded cell is split by the planner's skew
+    handling when the cover is too large to broadcast.
     """
-    size = size or cell_size(zones)
-    spread = zone_cells(zones.select(F.col(name).alias("zone"), "edges", "box"), size)
-    points = df.select(
-        key, F.col(lon).alias("__x"), F.col(lat).alias("__y"), G.cell(F.col(lon), size).alias("cx"), G.cell(F.col(lat), size).alias("cy")
-    )
-    hits = points.join(spread, ["cx", "cy"]).filter(G.contains(F.col("edges"), F.col("box"), F.col("__x"), F.col("__y")))
+    cover = stage(zone_cover(zones.select(F.col(name).alias("zone"), "edges", "box"), cells), "cover")
+    levels = sorted(r["level"] for r in cover.select("level").distinct().collect())
+    found = df.select(key, F.col(lon).alias("__x"), F.col(lat).alias("__y"), F.explode(F.array(*[F.lit(n) for n in levels]).cast("array<int>")).alias("level"))
+    side = _cell_side(F.col("level"))
+    points = found.withColumns({"cx": G.cell(F.col("__x"), side), "cy": G.cell(F.col("__y"), side)})
+    inside = F.col("inner") | G.contains(F.col("near"), F.col("box"), F.col("__x"), F.col("__y"))
+    hits = points.join(cover, ["level", "cx", "cy"]).filter(inside)
     return hits.groupBy(key).agg(F.min("zone").alias("zone"))
 
 

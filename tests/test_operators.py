@@ -277,11 +277,37 @@ def test_zone_tags_against_all_pairs(spark, sf):
     zones = geo.polygon_table(X.zones(spark, sf), "geometry")
     pairs = points.crossJoin(zones.select("NIL", "edges", "box")).filter(G.contains(F.col("edges"), F.col("box"), F.col("lng"), F.col("lat")))
     want = {r["IdSensore"]: r["z"] for r in pairs.groupBy("IdSensore").agg(F.min("NIL").alias("z")).collect()}
-    for size in (None, 0.03, 5.0):
-        got = {r["IdSensore"]: r["zone"] for r in geo.tag_zones(points, "IdSensore", "lng", "lat", zones, "NIL", size).collect()}
+    for cells in (1, 4, 20):
+        got = {r["IdSensore"]: r["zone"] for r in geo.tag_zones(points, "IdSensore", "lng", "lat", zones, "NIL", cells).collect()}
         assert got == want and want
 
 
+def test_large_and_small_zones_take_a_few_cells_each(spark):
+    rnd = random.Random(8)
+
+    def ring(x, y, r, n):
+        turns = [2 * math.pi * i / n for i in range(n)]
+        points = [[x + r * (0.6 + 0.4 * rnd.random()) * math.cos(t), y + r * (0.6 + 0.4 * rnd.random()) * math.sin(t)] for t in turns]
+        return str([[*points, points[0]]])
+
+    shapes = [("z_big", ring(10.0, 45.0, 20.0, 40))] + [(f"a{i:03d}", ring(rnd.uniform(-10, 30), rnd.uniform(30, 60), 0.05 + rnd.random() / 4, 9)) for i in range(200)]
+    # a square with a hole
+    shapes.append(("b_hole", str([[[0, 40], [8, 40], [8, 48], [0, 48], [0, 40]], [[2, 42], [6, 42], [6, 46], [2, 46], [2, 42]]])))
+    zones = geo.polygon_table(spark.createDataFrame([(n, f'{{"type": "Polygon", "coordinates": {c}}}') for n, c in shapes], "name string, g string"), "g")
+    cover = geo.zone_cover(zones.withColumnRenamed("name", "zone"))
+    sizes = {r["zone"]: r for r in cover.groupBy("zone").agg(F.count("*").alias("n"), F.count_if("inner").alias("inner"), F.max("level").alias("level")).collect()}
+    assert len(sizes) == 202 and max(r["n"] for r in sizes.values()) <= 81
+    assert sizes["z_big"]["inner"] > 0 and sizes["z_big"]["level"] < sizes["a000"]["level"]
+    rows = [(i, rnd.uniform(-12, 32), rnd.uniform(24, 66)) for i in range(6_000)] + [(6_000 + i, 2.0 * (i % 5), 40.0 + i % 9) for i in range(40)] + [(9_999, None, None)]
+    points = spark.createDataFrame(rows, "id int, x double, y double")
+    pairs = points.join(zones, G.contains(F.col("edges"), F.col("box"), F.col("x"), F.col("y")))
+    want = {r["id"]: r["z"] for r in pairs.groupBy("id").agg(F.min("name").alias("z")).collect()}
+    for cells in (1, 4, 16):
+        got = {r["id"]: r["zone"] for r in geo.tag_zones(points, "id", "x", "y", zones, "name", cells).collect()}
+        assert got == want
+    assert len(set(want.values())) > 20
+
+
 def test_sensor_rules(spark):
     schema = X.SENSOR_SCHEMA
     docs = [
