@@ -95,9 +95,18 @@ def lacks_match(col: Column, pattern: str) -> Column:
     return ~col.rlike(pattern)
 
 
+HASH_PRIME = (1 << 31) - 1
+HASH_FACTOR = 1_103_515_245
+
+
 def hash_bucket(keys: Sequence[tuple[Column, int]], seed: int, modulus: int) -> Column:
-    """Plain integer arithmetic on keys: the same number in any engine and on every run."""
+    """Plain integer arithmetic on keys: the same number in any engine and on every run.
+
+    The weighted sum of the keys is squared modulo a prime, so that neighbouring keys do not fall into stripes.
+    """
     total = F.lit(seed * 104_729).cast("bigint")
     for col, factor in keys:
         total = total + col.cast("bigint") * factor
-    return F.pmod(total, F.lit(modulus).cast("bigint"))
+    prime = F.lit(HASH_PRIME).cast("bigint")
+    mixed = F.pmod(total, prime) * F.lit(HASH_FACTOR).cast("bigint") % prime
+    return mixed * mixed % prime % F.lit(modulus).cast("bigint")

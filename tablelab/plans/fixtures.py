@@ -77,6 +77,12 @@ ALIASES_SQL = """aliases AS (SELECT CAST(p_partkey AS INTEGER) AS bad_id, CAST(p
   FROM part WHERE p_partkey % 10 = 7)"""
 
 
+def hash_sql(total: str, modulus: int) -> str:
+    """The bucket of a weighted sum of keys: a factor and a square modulo the prime 2**31 - 1."""
+    mixed = f"((({total}) % 2147483647) * 1103515245::BIGINT % 2147483647)"
+    return f"({mixed} * {mixed} % 2147483647 % {modulus})"
+
+
 def artist_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = load(spark, sf_dir, "part")
     return p.select(F.col("p_partkey").cast("int").alias("id"), F.concat_ws(" ", "p_name", "p_brand").alias("name"))
@@ -87,7 +93,7 @@ NAMES_SQL = """names AS (SELECT CAST(p_partkey AS INTEGER) AS id, concat_ws(' ',
 RATINGS_SQL = f"""{LISTENS_SQL}, {ALIASES_SQL},
 ratings AS (SELECT "user", coalesce(good_id, item) AS item, CAST(sum("count") AS DOUBLE) AS rating
   FROM listens LEFT JOIN aliases ON item = bad_id GROUP BY 1, 2),
-split AS (SELECT *, ("user" * 7919::BIGINT + item * 104729::BIGINT) % 10 >= 7 AS valid FROM ratings)"""
+split AS (SELECT *, {hash_sql('"user" * 7919::BIGINT + item * 104729::BIGINT', 10)} >= 7 AS valid FROM ratings)"""
 
 
 # --- basket ----------------------------------------------------------------------------------------

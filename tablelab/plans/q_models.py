@@ -186,15 +186,16 @@ def log_loss(spark, sf):
     return V.log_loss(s, "p", "toxic").select(F.round("logloss", 6).alias("logloss"))
 
 
-@register("""SELECT doc_id, toxic, CAST(ntile(10) OVER (PARTITION BY toxic ORDER BY (doc_id * 7919 + 3 * 104729::BIGINT) % 1000003, doc_id) - 1
+@register(f"""SELECT doc_id, toxic, CAST(ntile(10) OVER (PARTITION BY toxic
+  ORDER BY {X.hash_sql('doc_id * 7919::BIGINT + 3 * 104729::BIGINT', 1_000_003)}, doc_id) - 1
   AS INTEGER) AS fold FROM labels""")
 def stratified_folds(spark, sf):
     l = load(spark, sf, "labels").select("doc_id", "toxic")
     return M.with_folds(l, "toxic", "doc_id", 10)
 
 
-@register("""SELECT CASE WHEN h < 800 THEN 'train' WHEN h < 900 THEN 'valid' ELSE 'test' END AS part, count(*) AS n FROM
-  (SELECT (o_orderkey * 7919 + 5 * 104729::BIGINT) % 1000 AS h FROM orders) GROUP BY 1""")
+@register(f"""SELECT CASE WHEN h < 800 THEN 'train' WHEN h < 900 THEN 'valid' ELSE 'test' END AS part, count(*) AS n FROM
+  (SELECT {X.hash_sql('o_orderkey * 7919::BIGINT + 5 * 104729::BIGINT', 1_000)} AS h FROM orders) GROUP BY 1""")
 def hashed_split(spark, sf):
     o = load(spark, sf, "orders")
     parts = sampling.hashed_split(o, [(F.col("o_orderkey"), 7919)], [0.8, 0.1, 0.1], 5)
@@ -202,7 +203,7 @@ def hashed_split(spark, sf):
     return count_by(named[0].union(named[1]).union(named[2]), "part")
 
 
-@register("""SELECT o_custkey FROM (SELECT DISTINCT o_custkey, (o_custkey * 7919 + 2222 * 104729::BIGINT) % 1000003 AS h FROM orders)
+@register(f"""SELECT o_custkey FROM (SELECT DISTINCT o_custkey, {X.hash_sql('o_custkey * 7919::BIGINT + 2222 * 104729::BIGINT', 1_000_003)} AS h FROM orders)
   ORDER BY h, o_custkey LIMIT 200""")
 def key_sample(spark, sf):
     return sampling.key_sample(load(spark, sf, "orders"), "o_custkey", 200)

@@ -536,3 +536,13 @@ def test_tiles_have_no_gaps_and_hold_the_cell_below_their_centre(spark, zoom):
 def test_zoom_follows_from_the_cell_size():
     size = raster.world_grid(5).size
     assert [raster.layout_zoom(s) for s in (size, size * 0.95, size * 0.8, size * 1.2, 1e9)] == [5, 5, 6, 5, 0]
+
+
+def test_hash_buckets_are_no_stripes(spark):
+    h = S.hash_bucket([(F.col("id"), 7919)], 3, 10).alias("b")
+    buckets = [r["b"] for r in spark.range(10_000).orderBy("id").select("id", h).collect()]
+    assert all(900 < buckets.count(b) < 1_100 for b in range(10))
+    # ids of one last digit fall into all buckets alike
+    for digit in range(10):
+        part = buckets[digit::10]
+        assert all(60 < part.count(b) < 145 for b in range(10))
