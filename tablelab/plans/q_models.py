@@ -242,9 +242,7 @@ def partition_sampler(spark, sf):
 @register()
 def kmeans_fit(spark, sf):
     """Mixed columns encoded, scaled and clustered; cluster sizes by label."""
-    t = X.traffic(spark, sf)
-    model = A.fit_clusters(t, X.TRAFFIC_NUMERIC, X.TRAFFIC_STRINGS, k=10, iterations=10)
-    return V.cluster_profile(model.transform(t))
+    return V.cluster_profile(A.cluster_bounded(X.traffic(spark, sf), X.TRAFFIC_NUMERIC, X.TRAFFIC_STRINGS, k=180, iterations=40))
 
 
 @register()
@@ -257,7 +255,7 @@ def kmeans_default(spark, sf):
 
 @register()
 def cluster_centres(spark, sf):
-    model = A.fit_clusters(X.traffic(spark, sf), X.TRAFFIC_NUMERIC, k=5, iterations=5)
+    model = A.fit_clusters(X.traffic(spark, sf), X.TRAFFIC_NUMERIC, k=5, iterations=40, tol=1e-5)
     return A.centres_table(spark, model).withColumn("centre", F.array_join(F.col("centre").cast("array<string>"), ","))
 
 
@@ -272,19 +270,14 @@ def geo_cluster_months(spark, sf):
 
 @register()
 def k_sweep(spark, sf):
-    return A.score_k(X.traffic(spark, sf), X.TRAFFIC_NUMERIC, X.TRAFFIC_STRINGS, [5, 10, 15], iterations=5, silhouette=True)
+    return A.score_k(X.traffic(spark, sf), X.TRAFFIC_NUMERIC, X.TRAFFIC_STRINGS, range(60, 271, 30), silhouette=True)
 
 
 @register()
 def kmeans_anomalies(spark, sf):
     """Rows at least as far from their fitted centre as the 100th farthest."""
-    t = X.traffic(spark, sf)
-    model = A.fit_clusters(t, X.TRAFFIC_NUMERIC, k=10, iterations=10)
-    from pyspark.ml.functions import vector_to_array
-
-    placed = model.transform(t).withColumn("x", vector_to_array("features"))
-    centres = [[float(v) for v in c] for c in model.stages[-1].clusterCenters()]
-    return A.anomalies(A.own_distance(placed, F.col("x"), "cluster", centres), [*X.TRAFFIC_NUMERIC, "label"])
+    placed = A.cluster_bounded(X.traffic(spark, sf), X.TRAFFIC_NUMERIC, X.TRAFFIC_STRINGS, k=180, iterations=40)
+    return A.anomalies(stage(placed.drop("features"), "distances"), [*X.TRAFFIC_NUMERIC, *X.TRAFFIC_STRINGS, "label"])
 
 
 def _digits(spark, sf):
