@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 
@@ -170,25 +171,75 @@ def exact_quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> Data
     return ranked.agg(*picks)
 
 
+def _brackets(df: DataFrame, columns: Sequence[str], shares: Sequence[float], margin: float) -> tuple[dict, dict]:
+    """One pass: count, ends and mean of each column, and values a little below and above each wanted place."""
+    places = [p for q in shares for p in (max(q - margin, 0.0), min(q + margin, 1.0))]
+    picks = []
+    for i, c in enumerate(columns):
+        x = F.col(c).cast("double")
+        near = F.percentile_approx(x, F.array(*[F.lit(float(p)) for p in places]), F.lit(10_000))
+        picks.append(F.struct(F.count(x).alias("n"), F.min(x).alias("min"), F.avg(x).alias("mean"), F.max(x).alias("max"), near.alias("near")).alias(f"c{i}"))
+    row = df.agg(*picks).first()
+    return {i: row[f"c{i}"] for i in range(len(columns))}, {(i, j): (row[f"c{i}"]["near"] or [None] * len(places))[2 * j : 2 * j + 2] for i in range(len(columns)) for j in range(len(shares))}
+
+
+def quantiles_of(df: DataFrame, columns: Sequence[str], shares: Sequence[float], margin: float = 0.002) -> DataFrame:
+    """Exact interpolated quantiles of many columns in three scans: ``column, n, min, mean, max, q0, q1, ...``.
+
+    The first scan brackets every wanted place between two values by a sketch, the second counts the values below and
+    inside each bracket, the third numbers the values inside, equal ones together. A bracket that misses its place
+    is widened to the whole column, so the result is exact whatever the sketch returns. ``df`` must give the same rows
+    in each scan. NULLs are left out; a column without values has NULL quantiles; NaN is the largest value.
+    """
+    stats, near = _brackets(df, columns, shares, margin)
+    near = {at: ends for at, ends in near.items() if stats[at[0]]["n"]}
+    sums = []
+    for (i, j), (low, high) in near.items():
+        x = F.col(columns[i]).cast("double")
+        sums += [F.count_if(x < low).alias(f"below_{i}_{j}"), F.count_if(x <= high).alias(f"upto_{i}_{j}")]
+    counted = df.agg(*sums).first() if sums else {}
+    targets, members = [], []
+    for (i, j), (low, high) in near.items():
+        n, x = stats[i]["n"], F.col(columns[i]).cast("double")
+        spot = (n - 1) * float(shares[j])
+        first, second, below = math.floor(spot), math.ceil(spot), counted[f"below_{i}_{j}"]
+        hit = below <= first and second < counted[f"upto_{i}_{j}"]
+        inside = (x >= low) & (x <= high) if hit else x.isNotNull()
+        targets.append((i, j, first - below if hit else first, second - below if hit else second, spot - first))
+        members.append(F.when(inside, F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), x.alias("x"))))
+    spark = df.sparkSession
+    kept = [(i, c, int(s["n"]), s["min"], s["mean"], s["max"]) for i, c in enumerate(columns) for s in [stats[i]]]
+    out = spark.createDataFrame(kept, "i int, column string, n long, min double, mean double, max double")
+    if not targets:
+        return out.select("column", "n", "min", "mean", "max", *[F.lit(None).cast("double").alias(f"q{j}") for j in range(len(shares))])
+    values = df.select(F.explode(F.array_compact(F.array(*members))).alias("m")).groupBy("m.i", "m.j", "m.x").agg(F.count("*").alias("n"))
+    ranked = running_totals(values, ["i", "j"], ["x"], {"upto": F.col("n")}, staged=True)
+    wanted = spark.createDataFrame(targets, "i int, j int, first long, second long, part double")
+    found = ranked.join(wanted, ["i", "j"]).groupBy("i", "j").agg(
+        F.min(F.when(F.col("upto") > F.col("first"), F.col("x"))).alias("low"),
+        F.min(F.when(F.col("upto") > F.col("second"), F.col("x"))).alias("high"), F.max("part").alias("part"))
+    value = F.when(F.col("part") == 0, F.col("low")).otherwise(F.col("low") + (F.col("high") - F.col("low")) * F.col("part"))
+    wide = found.groupBy("i").agg(*[F.max(F.when(F.col("j") == j, value)).alias(f"q{j}") for j in range(len(shares))])
+    return out.join(wide, "i", "left").select("column", "n", "min", "mean", "max", *[f"q{j}" for j in range(len(shares))])
+
+
 def five_numbers(df: DataFrame, columns: Sequence[str], exact: bool = True) -> DataFrame:
     """min, quartiles, mean and max per column, one row per column.
 
-    ``exact=False`` takes the quartiles from a mergeable sketch in the same single pass.
+    ``exact=False`` takes the quartiles from a mergeable sketch in one single pass.
     """
     shares = [0.25, 0.5, 0.75]
-    rows = []
-    for c in columns:
-        x = F.col(c).cast("double")
-        ends = [F.lit(c).alias("column"), F.min(x).alias("min"), F.avg(x).alias("mean"), F.max(x).alias("max")]
-        if exact:
-            q = exact_quantiles(df, c, shares).withColumn("column", F.lit(c))
-            rows.append(df.agg(*ends).join(q, "column"))
-        else:
+    if exact:
+        found = quantiles_of(df, columns, shares)
+    else:
+        rows = []
+        for c in columns:
+            x = F.col(c).cast("double")
             sketch = F.percentile_approx(x, F.array(*[F.lit(s) for s in shares]))
-            rows.append(df.agg(*ends, *[F.get(sketch, i).alias(f"q{i}") for i in range(3)]))
-    return union_by_name(rows).select(
-        "column", "min", F.col("q0").alias("q1"), F.col("q1").alias("median"), "mean", F.col("q2").alias("q3"), "max"
-    )
+            rows.append(F.struct(F.lit(c).alias("column"), F.min(x).alias("min"), F.avg(x).alias("mean"), F.max(x).alias("max"),
+                                 *[F.get(sketch, i).alias(f"q{i}") for i in range(3)]))
+        found = df.agg(F.array(*rows).alias("r")).select(F.inline("r"))
+    return found.select("column", "min", F.col("q0").alias("q1"), F.col("q1").alias("median"), "mean", F.col("q2").alias("q3"), "max")
 
 
 def profile(df: DataFrame, approximate_distinct: bool = False) -> DataFrame:

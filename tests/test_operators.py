@@ -3,6 +3,8 @@
 import math
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -130,6 +132,21 @@ def test_quantiles_exact_and_sketch(spark):
     assert abs(sketch["median"] - 51) <= 1
 
 
+def test_quantiles_of_many_columns_equal_a_full_sort(spark):
+    draw = np.random.default_rng(3)
+    n = 20_001
+    frame = pd.DataFrame({"a": draw.normal(size=n), "b": draw.integers(0, 5, n).astype(float), "c": np.where(np.arange(n) % 3 == 0, 7.0, draw.random(n)), "d": np.arange(n, dtype=float)})
+    shares = [0.0, 0.1, 0.25, 0.5, 0.999, 1.0]
+    df = spark.createDataFrame(frame).repartition(7)
+    df = df.select(*[F.when(F.col("d") % 11 == 0, None).otherwise(F.col(c)).alias(c) for c in "abc"], "d", F.lit(None).cast("double").alias("none"))
+    kept = frame[frame.d % 11 != 0]
+    for margin in (0.002, 0.0):  # without a margin most brackets miss their place and are widened
+        found = {r["column"]: r for r in relational.quantiles_of(df, ["a", "b", "c", "d", "none"], shares, margin).collect()}
+        for name, x in (("a", kept.a), ("b", kept.b), ("c", kept.c), ("d", frame.d)):
+            assert np.allclose([found[name][f"q{j}"] for j in range(len(shares))], np.quantile(x, shares)), (name, margin)
+        assert found["none"]["q0"] is None and found["none"]["n"] == 0
+
+
 def test_join_suffixes(spark):
     a, b = spark.createDataFrame([(1, 2)], "k int, v int"), spark.createDataFrame([(1, 3)], "k int, v int")
     assert set(relational.join_suffixed(a, b, ["k"], "left").columns) == {"k", "v_x", "v_y"}
