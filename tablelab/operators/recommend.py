@@ -14,6 +14,7 @@ from ..session import cached, stage
 from .evaluate import mean_user_auc
 from .ordered import row_positions, running_totals
 from .relational import lookup_or_same
+from .top_scores import best_items
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -118,10 +119,15 @@ def fit_als(train: DataFrame, rank: int = 10, iterations: int = 5, reg: float =
 
 
 def top_items(model: ALSModel, users: DataFrame, k: int = 5) -> DataFrame:
-    """k best items per user, one row each: ``user, place, item, score``."""
-    recs = model.recommendForUserSubset(users.select("user").distinct(), k)
-    return recs.select("user", F.posexplode("recommendations").alias("place", "r")).select(
-        "user", (F.col("place") + 1).alias("place"), F.col("r.item").alias("item"), F.col("r.rating").alias("score")
+    """k best items per user, one row each: ``user, place, item, score, scored``.
+
+    Items are offered by falling length of their factors until no other one can reach the k-th score; ``scored`` is
+    the number of items the user was compared with. Users the model does not know have no rows.
+    """
+    asked = users.select(F.col("user").alias("id")).distinct()
+    best = best_items(model.userFactors.join(asked, "id"), model.itemFactors, k)
+    return best.select("user", F.posexplode(F.arrays_zip("items", "scores")).alias("place", "r"), "scored").select(
+        "user", (F.col("place") + 1).alias("place"), F.col("r.items").alias("item"), F.col("r.scores").cast("float").alias("score"), "scored"
     )
 
 
