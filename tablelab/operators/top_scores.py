@@ -1,6 +1,6 @@
 """Best items per user by the product of factor vectors, without scoring every pair.
 
-Items are numbered by falling length of their vectors and cut into chunks of bounded size; a chunk is one pass over the
+Items are cut into chunks of about equal, bounded size by falling length of their vectors; a chunk is one pass over the
 users that are not finished. Within a chunk items come in blocks. No item of a block, or after it, can score above
 length of the user x longest item of the block; a user whose k-th score lies above that is finished.
 """
@@ -15,9 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import session
-from .ordered import row_positions
 
-#: Bytes of item vectors that travel to the tasks at a time, and items of one block.
+#: Bytes of item vectors that travel to the tasks at a time (cuts come from a sample, so about), and items of one block.
 CHUNK_BYTES = 32 << 20
 BLOCK_ITEMS = 512
 _USERS = "user int, u array<double>, items array<int>, scores array<double>, scored long, finished boolean"
@@ -72,21 +71,25 @@ def best_items(users: DataFrame, items: DataFrame, k: int = 5, chunk_bytes: int
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     vectors = items.where("features is not null").select("id", F.col("features").cast("array<double>").alias("v"))
     vectors = vectors.withColumn("length", F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)))
-    numbered = session.stage(row_positions(vectors, [], ["-length", "id"], "pos", staged=True), "items")
-    n, width = numbered.agg(F.count("*"), F.max(F.size("v"))).first()
-    size = max(chunk_bytes // (8 * (width or 1) + 8), 1)
+    n, width = vectors.agg(F.count("*"), F.max(F.size("v"))).first()
+    chunks = -(-n * (8 * (width or 1) + 8) // chunk_bytes)
+    # range partitions by falling length are the chunks; equal lengths are divided by id
+    ranged = vectors.repartitionByRange(chunks, F.desc("length"), "id") if chunks else vectors
+    chunked = session.stage(ranged.withColumn("chunk", F.spark_partition_id()), "items")
     state = users.where("features is not null").select(
         F.col("id").alias("user"), F.col("features").cast("array<double>").alias("u"), F.array().cast("array<int>").alias("items"),
         F.array().cast("array<double>").alias("scores"), F.lit(0).cast("long").alias("scored"), F.lit(False).alias("finished"))
     # factor tables come in few partitions; each pass is work of the users alone
     state, done = session.stage(state.repartition(parts), "users"), []
-    for start in range(0, n, size):
-        rows = numbered.where((F.col("pos") > start) & (F.col("pos") <= start + size)).select("pos", "id", "v", "length").toPandas().sort_values("pos")
+    for no in range(chunks):
+        rows = chunked.where(F.col("chunk") == no).select("id", "v", "length").toPandas().sort_values(["length", "id"], ascending=[False, True])
+        if rows.empty:
+            continue
         chunk = spark.sparkContext.broadcast((rows["id"].to_numpy(dtype="int32"), np.stack(rows["v"].to_numpy()), rows["length"].to_numpy()[::BLOCK_ITEMS]))
         after = session.stage(state.mapInPandas(_pass(chunk, k), _USERS), "offered")
         done.append(after.where("finished"))
         state = after.where("not finished")
-        if start + size < n and state.isEmpty():
+        if no + 1 < chunks and state.isEmpty():
             break
     out = state
     for frame in done:
