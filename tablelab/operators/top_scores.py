@@ -16,18 +16,35 @@ from pyspark.sql import functions as F
 
 from .. import session
 
-#: Bytes of item vectors that travel to the tasks at a time (cuts come from a sample, so about), and items of one block.
+#: Bytes of item vectors that travel to the tasks at a time (cuts come from a sample, so about), items of one block, and users
+#: whose products with a block are held at a time.
 CHUNK_BYTES = 32 << 20
 BLOCK_ITEMS = 512
+GROUP_USERS = 1024
 _USERS = "user int, u array<double>, items array<int>, scores array<double>, scored long, finished boolean"
 
 
-def _merge(items: np.ndarray, scores: np.ndarray, ids: np.ndarray, fresh: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The k best of each row's list and of the new block; equal scores by smaller id."""
-    all_ids = np.concatenate([items, np.broadcast_to(ids, fresh.shape)], axis=1)
-    all_scores = np.concatenate([scores, fresh], axis=1)
-    best = np.lexsort((all_ids, -all_scores), axis=1)[:, :k]
-    return np.take_along_axis(all_ids, best, axis=1), np.take_along_axis(all_scores, best, axis=1)
+def _merge(items: np.ndarray, scores: np.ndarray, ids: np.ndarray, fresh: np.ndarray, k: int) -> None:
+    """Put into each row's list the k best of it and of the new block, in place; equal scores by smaller id.
+
+    Only products that reach a row's k-th score, and the block's own k-th, are sorted.
+    """
+    rows = np.flatnonzero((fresh >= scores[:, -1:]).any(axis=1))
+    if not len(rows):
+        return
+    some = fresh[rows]
+    some[np.isnan(some)] = -np.inf
+    edge = scores[rows, -1]
+    if some.shape[1] > k:
+        edge = np.maximum(edge, np.partition(some, -k, axis=1)[:, -k])
+    row, col = np.nonzero(some >= edge[:, None])
+    owner = np.concatenate([np.repeat(np.arange(len(rows)), k), row])
+    all_ids = np.concatenate([items[rows].ravel(), ids[col]])
+    all_scores = np.concatenate([scores[rows].ravel(), some[row, col]])
+    order = np.lexsort((all_ids, -all_scores, owner))
+    counts = np.bincount(owner, minlength=len(rows))  # k at least
+    best = order[(np.cumsum(counts) - counts)[:, None] + np.arange(k)]
+    items[rows], scores[rows] = all_ids[best], all_scores[best]
 
 
 def _pass(chunk, k: int):
@@ -43,15 +60,19 @@ def _pass(chunk, k: int):
             scores = np.stack([np.pad(np.asarray(x, dtype=float), (0, k - len(x)), constant_values=-np.inf) for x in batch["scores"]])
             scored, finished = batch["scored"].to_numpy().copy(), batch["finished"].to_numpy().copy()
             length = np.sqrt((u * u).sum(axis=1))
-            for no, at in enumerate(range(0, len(ids), BLOCK_ITEMS)):
-                # a little slack, so that rounding never ends a user too early
-                finished |= length * longest[no] * (1 + 1e-9) < scores[:, -1]
-                who = np.flatnonzero(~finished)
-                if not len(who):
-                    break
-                block = slice(at, at + BLOCK_ITEMS)
-                items[who], scores[who] = _merge(items[who], scores[who], ids[block], u[who] @ vectors[block].T, k)
-                scored[who] += len(ids[block])
+            for first in range(0, len(u), GROUP_USERS):
+                group = np.arange(first, min(first + GROUP_USERS, len(u)))
+                for no, at in enumerate(range(0, len(ids), BLOCK_ITEMS)):
+                    # a little slack, so that rounding never ends a user too early
+                    finished[group] |= length[group] * longest[no] * (1 + 1e-9) < scores[group, -1]
+                    who = group[~finished[group]]
+                    if not len(who):
+                        break
+                    block = slice(at, at + BLOCK_ITEMS)
+                    kept_items, kept_scores = items[who], scores[who]
+                    _merge(kept_items, kept_scores, ids[block], u[who] @ vectors[block].T, k)
+                    items[who], scores[who] = kept_items, kept_scores
+                    scored[who] += len(ids[block])
             full = np.isfinite(scores)
             yield pd.DataFrame({
                 "user": batch["user"], "u": batch["u"], "items": [x[f] for x, f in zip(items, full)],
@@ -87,6 +108,7 @@ def best_items(users: DataFrame, items: DataFrame, k: int = 5, chunk_bytes: int
             continue
         chunk = spark.sparkContext.broadcast((rows["id"].to_numpy(dtype="int32"), np.stack(rows["v"].to_numpy()), rows["length"].to_numpy()[::BLOCK_ITEMS]))
         after = session.stage(state.mapInPandas(_pass(chunk, k), _USERS), "offered")
+        chunk.destroy()  # what was offered is stored
         done.append(after.where("finished"))
         state = after.where("not finished")
         if no + 1 < chunks and state.isEmpty():

@@ -47,3 +47,22 @@ def test_model_lists_equal_those_of_the_library(spark):
     assert ours.keys() == theirs.keys()
     assert all(abs(ours[at][1] - theirs[at][1]) < 1e-5 for at in ours)
     assert sum(ours[at][0] == theirs[at][0] for at in ours) > 0.99 * len(ours)
+
+
+def test_a_pass_sorts_few_products_and_holds_few_at_a_time(monkeypatch):
+    import pandas as pd
+
+    draw = np.random.default_rng(3)
+    v, u = draw.normal(size=(4096, 8)), draw.normal(size=(3000, 8))
+    order = np.argsort(-np.sqrt((v * v).sum(axis=1)))
+    lengths = np.sqrt((v[order] ** 2).sum(axis=1))
+    chunk = type("Sent", (), {"value": (order.astype("int32"), v[order], lengths[:: top_scores.BLOCK_ITEMS])})
+    batch = pd.DataFrame({"user": range(3000), "u": list(u), "items": [[]] * 3000, "scores": [[]] * 3000, "scored": 0, "finished": False})
+    sizes, plain = [], np.lexsort
+    monkeypatch.setattr(np, "lexsort", lambda keys, **o: (sizes.append(np.size(keys[0])), plain(keys, **o))[1])
+    out = next(top_scores._pass(chunk, 5)(iter([batch])))
+    monkeypatch.undo()
+    assert max(sizes) <= 16 * top_scores.GROUP_USERS  # 3,000 users x 517 when whole blocks were sorted
+    scores = u @ v.T
+    for i in range(0, 3000, 97):
+        assert out["items"][i].tolist() == np.argsort(-scores[i])[:5].tolist()
