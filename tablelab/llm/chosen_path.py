@@ -10,7 +10,8 @@ its first branching; a path goes on with one child on average.
 
 Equal sets are one vertex from the start, and every set is first verified against one centre, that it
 shares most nodes with; this ties large groups of copies by a number of pairs that grows with their rows. What is still
-large at the last depth is compared too (``groups.tie``). All links are confirmed on whole sets.
+large at the last depth is compared too (``groups.tie``), by bitmaps of the sets. All links are confirmed on whole sets; only sets of
+pairs to be confirmed are stored whole.
 
 Defined cases: null texts and texts without words are empty sets, linked with nothing and kept; shorter ones than an
 n-gram are one n-gram; repeated rows and documents of one id are rows of their own; a null id is never the id of a component
@@ -86,11 +87,15 @@ def next_nodes(rows: DataFrame, nodes: DataFrame, prints: DataFrame, percent: in
     """node, sig: the children of ``nodes``. A node selects every position with a chance that keeps linked documents together in one child on average."""
     pick = F.filter(F.sequence(F.lit(0), F.lit(TOKENS - 1)), lambda j: F.pmod(F.xxhash64("node", j), F.lit(percent * TOKENS)) < 100)
     chosen = nodes.select("node", F.explode(pick).alias("position"))
-    return rows.join(chosen, "node").join(prints.select("sig", "tokens"), "sig").select(_child(F.col("node"), F.col("position"), "tokens").alias("node"), "sig")
+    # a document meets its tokens once, whatever the number of its nodes
+    listed = rows.join(chosen, "node").groupBy("sig").agg(F.collect_list(F.struct("node", "position")).alias("e"))
+    each = listed.join(prints.select("sig", "tokens"), "sig").select("sig", "tokens", F.inline("e"))
+    return each.select(_child(F.col("node"), F.col("position"), "tokens").alias("node"), "sig")
 
 
 def shared(rows: DataFrame) -> DataFrame:
     """node, sig, centre of nodes with several documents; stored. The centre is the vertex of smallest hash with the node."""
+    rows = rows.repartition("node")  # moved once for both reads
     sizes = rows.groupBy("node").agg(F.count("*").alias("k"), F.min_by("sig", F.xxhash64("node", "sig")).alias("centre")).where("k > 1")
     return session.stage(rows.join(sizes, "node").select("node", "sig", "centre"), "level")
 
@@ -101,6 +106,11 @@ def centre_pairs(rows: DataFrame, least: int) -> DataFrame:
     return pairs.groupBy("a").agg(F.max_by("b", F.struct("k", "b")).alias("b"))
 
 
+def ends(pairs: DataFrame) -> DataFrame:
+    """sig of the sets in ``pairs`` (a, b)."""
+    return pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
+
+
 def leaves(level: DataFrame, label: DataFrame, prints: DataFrame, percent: int, small: int, depth: int) -> DataFrame:
     """group, sig of the nodes left to compare. Nodes of one component end, small ones are left to compare, larger ones branch."""
     left = None
@@ -126,13 +136,14 @@ def links(documents: DataFrame, size: int, percent: int, trees: int, branching:
     level = shared(first_nodes(prints, trees, branching))
     prints = rows.where("tokens is not null").select("sig", "tokens").join(level.select("sig").distinct(), "sig", "left_semi").dropDuplicates(["sig"])
     prints = session.stage(prints, "prints")
-    sets = jaccard.whole_sets(documents, rows.select("doc_id", "sig"), prints, size)
-    verified = lambda pairs: jaccard.verified(pairs, sets, bounds)
-    pairs = session.stage(centre_pairs(level, max(1, trees * branching // 3)), "centres")
-    near = session.stage(verified(pairs).select("a", "b"), "near")
+    owners = rows.select("doc_id", "sig")
+    centres = session.stage(centre_pairs(level, max(1, trees * branching // 3)), "centres")
+    sets = jaccard.whole_sets(documents, owners, ends(centres), size, mapped=prints)
+    near = session.stage(jaccard.verified(centres, sets.where("members is not null").select("sig", "n", "members"), bounds).select("a", "b"), "near")
     label = components(near, "a", "b").select(F.col("id").alias("sig"), "component")
     left = leaves(level, label, prints, percent, small, depth)
-    return rows, near.unionByName(groups.tie(left, label, sets, bounds, verified))
+    verified = lambda pairs: jaccard.verified(pairs, jaccard.whole_sets(documents, owners, ends(pairs), size), bounds)
+    return rows, near.unionByName(groups.tie(left, label, None, bounds, verified, maps=sets.select("sig", "n", "bits")))
 
 
 def join_groups(documents: DataFrame, size: int = 5, percent: int = 85, trees: int = 12, branching: int = 2, small: int = 256, depth: int = 3) -> DataFrame:

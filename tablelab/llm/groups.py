@@ -31,7 +31,7 @@ def _width(n: int) -> int:
     return max(256, 1 << int(8 * n - 1).bit_length())
 
 
-def _parity(members: np.ndarray) -> bytes:
+def parity(members: np.ndarray) -> bytes:
     """Bit i is the parity of the number of members that fall on i."""
     bits = _width(len(members))
     return np.packbits((np.bincount((members >> U64(20)).astype(np.int64) & (bits - 1), minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
@@ -42,7 +42,7 @@ def bitmaps(sets: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bits = [_parity(np.frombuffer(m.as_buffer(), U64)) for m in batch.column(2)]
+            bits = [parity(np.frombuffer(m.as_buffer(), U64)) for m in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bits, pa.binary())], names=["sig", "n", "bits"])
 
     return session.stage(sets.select("sig", "n", "members").mapInArrow(run, "sig long, n long, bits binary"), "bitmaps")
@@ -142,13 +142,18 @@ def _pairs(rows: DataFrame, maps: DataFrame, bounds, each: int, rows_per_task: i
 
     rows = session.stage(rows, "cells")
     tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows.count() // rows_per_task)
-    rows = rows.join(maps, "sig").withColumn("task", F.pmod("cell", F.lit(tasks)))
+    # a set meets its bitmap once, whatever the number of its cells
+    listed = rows.groupBy("sig").agg(F.collect_list(F.struct("group", "cell", "side", "component")).alias("e"))
+    rows = listed.join(maps, "sig").select("sig", "n", "bits", F.inline("e")).withColumn("task", F.pmod("cell", F.lit(tasks)))
     return session.stage(rows.groupBy("task").applyInPandas(run, "group long, a long, b long, tie boolean"), "pairs")
 
 
-def tie(members: DataFrame, label: DataFrame, sets: DataFrame, bounds, verified: Callable[[DataFrame], DataFrame], limit: int = 1024) -> DataFrame:
-    """Links (a, b) between rows of one group (columns group, sig of ``members``), beyond those in ``label`` (sig, component); stored."""
-    maps, links, each = None, None, 1
+def tie(members: DataFrame, label: DataFrame, sets: DataFrame | None, bounds, verified: Callable[[DataFrame], DataFrame], limit: int = 1024, maps: DataFrame | None = None) -> DataFrame:
+    """Links (a, b) between rows of one group (columns group, sig of ``members``), beyond those in ``label`` (sig, component); stored.
+
+    ``maps``: sig, n, bits of these rows at least, where they are known; ``sets`` may then be None.
+    """
+    links, each = None, 1
     while True:
         rows, sizes = mixed(members, label)
         if maps is None:  # only of sets that are compared

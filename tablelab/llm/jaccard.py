@@ -30,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablelab import session
@@ -168,40 +168,59 @@ def candidates(documents: DataFrame, size: int, bounds: Bounds, buckets: int) ->
     return session.stage(kept, "candidates")
 
 
-def _sieve(found: DataFrame, log_bits: int) -> bytes:
-    """A bitmap of 2**log_bits bits with the bit of every pair of sig and doc_id set."""
-    slot = F.pmod(F.col("sig").bitwiseXOR(F.coalesce("doc_id", F.lit(0))), F.lit(1 << log_bits))
-    rows = found.select((slot / 32768).cast("int").alias("page"), F.pmod(slot, F.lit(32768)).alias("bit"))
+def _sieve(keepers: DataFrame, key: Column, log_bits: int) -> np.ndarray:
+    """A bitmap of 2**log_bits bits with the bit of the ``key`` of every row set."""
+    slot = F.pmod(key, F.lit(1 << log_bits))
+    rows = keepers.select((slot / 32768).cast("int").alias("page"), F.pmod(slot, F.lit(32768)).alias("bit"))
     pages = rows.groupBy("page").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()
     out = bytearray(1 << log_bits - 3)
     for r in pages:
         out[4096 * r["page"] : 4096 * (r["page"] + 1)] = r["bits"]
-    return bytes(out)
+    return np.frombuffer(bytes(out), np.uint8)
 
 
-def whole_sets(documents: DataFrame, rows: DataFrame, found: DataFrame, size: int) -> DataFrame:
+def _passed(sieve: np.ndarray, key: np.ndarray) -> np.ndarray:
+    slot = (key % U64(8 * len(sieve))).astype(np.int64)
+    return (sieve[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0
+
+
+def whole_sets(documents: DataFrame, rows: DataFrame, found: DataFrame, size: int, mapped: DataFrame | None = None) -> DataFrame:
     """sig, n, members (binary, sorted) of the sets in ``found``; stored.
 
-    One document stands for all its copies. The bitmap lets few other rows through, which repeat a set at worst.
+    One document stands for all its copies; texts of other documents are not cut into n-grams. The bitmaps let few other rows
+    through, which repeat a set at worst. With ``mapped``, the rows are the sets in that table, each with the bitmap ``bits``
+    of ``groups``, and members are null but for the sets in ``found``, which are among them.
     """
-    keepers = rows.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("doc_id")).join(found.select("sig"), "sig")
+    wanted = (found if mapped is None else mapped).select("sig")
+    keepers = rows.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("doc_id")).join(wanted, "sig")
     keepers = session.stage(keepers, "keepers")
-    sieve = np.frombuffer(_sieve(keepers, min(28, max(20, (8 * keepers.count()).bit_length()))), np.uint8)
-    slots = U64(8 * len(sieve))
+    log_bits = min(28, max(20, (8 * keepers.count()).bit_length()))
+    owner = F.coalesce("doc_id", F.lit(0))
+    both = F.col("sig").bitwiseXOR(owner)
+    by_id, by_set = _sieve(keepers, owner, log_bits), _sieve(keepers, both, log_bits)
+    by_whole = by_set if mapped is None else _sieve(keepers.join(found.select("sig"), "sig", "left_semi"), both, log_bits)
+    with_bits = mapped is not None
+
+    def ids_of(batch: pa.RecordBatch) -> np.ndarray:
+        return batch.column(0).fill_null(0).to_numpy(zero_copy_only=False).view(U64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in words.blocks(batches, "text", BLOCK_BYTES):
+        owners = (batch.filter(pa.array(_passed(by_id, ids_of(batch)))) for batch in batches)
+        for block in words.blocks(owners, "text", BLOCK_BYTES):
             h, at, sig = _sets(block.column(1), size)
-            ids = block.column(0).fill_null(0).to_numpy(zero_copy_only=False).view(U64)
-            slot = ((sig ^ ids) % slots).astype(np.int64)
-            passed = np.flatnonzero((sig != 0) & ((sieve[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0))
+            key = sig ^ ids_of(block)
+            passed = np.flatnonzero((sig != 0) & _passed(by_set, key))
             _, first = np.unique(sig[passed], return_index=True)
-            own = [h[at[i] : at[i + 1]] for i in passed[first]]
-            columns = [sig[passed[first]].view(np.int64), [len(x) for x in own], [x.tobytes() for x in own]]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.int64(), pa.int64(), pa.binary()])], names=["sig", "n", "members"])
+            passed = passed[first]
+            own = [h[at[i] : at[i + 1]] for i in passed]
+            whole = [x.tobytes() if w else None for x, w in zip(own, _passed(by_whole, key[passed]))]
+            columns = [pa.array(sig[passed].view(np.int64)), pa.array([len(x) for x in own], pa.int64()), pa.array(whole, pa.binary())]
+            if with_bits:
+                columns.append(pa.array([groups.parity(x) for x in own], pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, names=["sig", "n", "members", "bits"][: len(columns)])
 
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return session.stage(texts.mapInArrow(run, "sig long, n long, members binary"), "sets")
+    return session.stage(texts.mapInArrow(run, "sig long, n long, members binary" + (", bits binary" if with_bits else "")), "sets")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, bounds: Bounds) -> DataFrame:
