@@ -1,9 +1,11 @@
 """Toxicity by compression distance: two zstandard dictionaries, one per class, compared window by window.
 
-Fit, on a bounded sample of labelled rows: character runs that are much more frequent in texts of one class
-than in the other train that class's dictionary. Every window of a text (about a hundred
-bytes, cut at blanks) is compressed with both dictionaries; the difference of the two lengths tells which
-dictionary knows more of the window. How often the differences pass several thresholds feeds a logistic calibration that is fitted on the
+Fit, on a bounded sample of labelled rows: the ordinary dictionary is trained on pieces of the ordinary texts. The
+toxic one is trained on character runs that are much more frequent in toxic texts, and holds the ordinary one as
+well, so that ordinary text is as short with both and chance matches cancel out. Both are plain content, without
+tables of their own. Every window of a text (about a hundred
+bytes, cut at blanks) is compressed with both dictionaries; the difference of the two lengths tells whether
+the window has runs that only the toxic texts know. How often the differences pass several thresholds feeds a logistic calibration that is fitted on the
 part of the sample the dictionaries have not seen; its intercept is set so that 0.5 is the score with the best
 balance of precision and recall at the class shares of all labels.
 
@@ -27,8 +29,10 @@ from pyspark.sql import functions as F
 from tablelab import session
 
 GRAM = 6
-#: Window sizes in bytes, dictionary sizes and least match lengths; each adds its differences to the features.
-SETTINGS = ((96, 1024, 5), (128, 2048, 4))
+#: Bytes of a window, of the ordinary dictionary and of the runs that the toxic one adds; bytes of a training piece.
+WINDOW, ORDINARY, TOXIC, PIECE = 96, 16_384, 4_096, 200
+#: Pieces taken from one text for training, evenly over the whole of it.
+PIECES = 8
 THRESHOLDS = (1, 2, 3, 4, 5, 6)
 
 
@@ -56,10 +60,19 @@ def _share_of(codes: np.ndarray, known: tuple[np.ndarray, np.ndarray], total: in
     return np.where(known[0][at] == codes, known[1][at], 0) / total
 
 
-def _marks(own, n_own: int, other, n_other: int, least: float, ratio: float) -> np.ndarray:
-    """Character runs found in enough texts of the class, and ``ratio`` times as often as in the other."""
-    codes = own[0][own[1] >= max(2, least * n_own)]
-    return codes[_share_of(codes, own, n_own) >= ratio * (_share_of(codes, other, n_other) + 0.5 / n_other)]
+def _marks(own, n_own: int, other, n_other: int, ratio: float = 10.0) -> np.ndarray:
+    """Character runs found ``ratio`` times as often in texts of the class as in the other, and in too many for chance.
+
+    The likelihood ratio of a run's counts must exceed what the best of that many runs reaches by chance.
+    """
+    codes, hits = own
+    share = n_own / (n_own + n_other)
+    others = _share_of(codes, other, 1)
+    n = hits + others
+    found = hits / n
+    gain = hits * np.log(found / share) + others * np.log(np.maximum(1 - found, 1e-300) / (1 - share))
+    often = hits / n_own >= ratio * (others + 0.5) / n_other
+    return codes[often & (gain > np.log(len(codes) + 1))]
 
 
 def _runs(text: bytes, marks: np.ndarray) -> list[bytes]:
@@ -79,12 +92,19 @@ def _dictionary(samples: list[bytes], size: int) -> bytes:
         return b" ".join(dict.fromkeys(samples))[:size] or b" " * 16
 
 
-def _compressor(dictionary: bytes, least_match: int) -> zstandard.ZstdCompressor:
+def _pieces(text: bytes) -> list[bytes]:
+    starts = range(0, max(len(text) - PIECE // 2, 1), max(PIECE, -(-len(text) // PIECES)))
+    return [text[at : at + PIECE] for at in starts]
+
+
+def _compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
     settings = zstandard.ZstdCompressionParameters(
-        window_log=12, hash_log=11, chain_log=11, search_log=3, min_match=least_match, target_length=16,
+        window_log=15, hash_log=16, chain_log=16, search_log=4, min_match=5, target_length=32,
         strategy=zstandard.STRATEGY_LAZY2, write_content_size=False, write_checksum=False, write_dict_id=False,
     )
-    return zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(dictionary), compression_params=settings)
+    content = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    content.precompute_compress(compression_params=settings)
+    return zstandard.ZstdCompressor(dict_data=content, compression_params=settings)
 
 
 def windows(data: bytes, size: int) -> list[bytes]:
@@ -104,19 +124,17 @@ def differences(data: bytes, size: int, ordinary, toxic) -> np.ndarray:
     return np.array([len(a(w)) - len(b(w)) for w in windows(data, size)], dtype=np.int32)
 
 
-def _pairs(books: list[list[bytes]]) -> list[tuple]:
-    """Window size and the two compressors of each setting."""
-    return [(size, _compressor(a, match), _compressor(b, match)) for (size, _, match), (a, b) in zip(SETTINGS, books)]
+def _pair(books: list[bytes]) -> tuple:
+    """The compressors of the ordinary and the toxic dictionary."""
+    ordinary, toxic = books
+    return _compressor(ordinary), _compressor(toxic + ordinary)
 
 
-def _features(data: bytes, pairs: list[tuple]) -> np.ndarray:
-    out = []
-    for size, ordinary, toxic in pairs:
-        d = differences(data, size, ordinary, toxic)
-        n = len(d)
-        over = [(d >= t).sum() for t in THRESHOLDS]
-        out += [d.mean(), d.max(), *[k / n for k in over], *[np.log1p(k) for k in over], np.log1p(n)]
-    return np.array(out)
+def _features(data: bytes, pair: tuple) -> np.ndarray:
+    d = differences(data, WINDOW, *pair)
+    n = len(d)
+    over = [(d >= t).sum() for t in THRESHOLDS]
+    return np.array([d.mean(), d.max(), *[k / n for k in over], *[np.log1p(k) for k in over], np.log1p(n)])
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, rounds: int = 30) -> np.ndarray:
@@ -155,21 +173,18 @@ def fit(sample: pd.DataFrame, toxic_share: float) -> dict:
         turn[np.flatnonzero(y == label)[2::3]] = True
     own = {c: [t for t, k, held in zip(texts, y, turn) if k == c and not held] for c in (0, 1)}
     shares = {c: _document_shares(own[c]) for c in own}
-    marks = {
-        1: _marks(shares[1], len(own[1]), shares[0], len(own[0]), 0.012, 10.0),
-        0: _marks(shares[0], len(own[0]), shares[1], len(own[1]), 0.003, 2.0),
-    }
-    runs = [[r for t in own[c] for r in _runs(t, marks[c])] for c in (0, 1)]
-    books = [[_dictionary(r, size) for r in runs] for _, size, _ in SETTINGS]
-    pairs = _pairs(books)
+    marks = _marks(shares[1], len(own[1]), shares[0], len(own[0]))
+    ordinary = _dictionary([p for t in own[0] for p in _pieces(t)], ORDINARY)
+    books = [ordinary, _dictionary([r for t in own[1] for r in _runs(t, marks)], TOXIC)]
+    pair = _pair(books)
     if not turn.any() or len(set(y[turn])) < 2:
         turn[:] = True
-    x = np.array([_features(t, pairs) for t, held in zip(texts, turn) if held])
+    x = np.array([_features(t, pair) for t, held in zip(texts, turn) if held])
     mean, spread = x.mean(0), x.std(0) + 1e-9
     beta = _logistic((x - mean) / spread, y[turn])
     share = min(max(toxic_share, 1e-6), 1 - 1e-6)
     beta[0] += np.log(share / (1 - share)) - _threshold(beta[0] + np.log(share / (1 - share)) + ((x - mean) / spread) @ beta[1:], y[turn], share)
-    return model | {"books": [[b.hex() for b in pair] for pair in books], "mean": mean.tolist(), "spread": spread.tolist(), "beta": beta.tolist()}
+    return model | {"books": [b.hex() for b in books], "mean": mean.tolist(), "spread": spread.tolist(), "beta": beta.tolist()}
 
 
 def learn(documents: DataFrame, labels: DataFrame, rows_per_class: int = 4_000) -> dict:
@@ -199,13 +214,13 @@ def score(documents: DataFrame, model: dict, keep: list[str], with_text: bool =
     """Columns ``keep`` with the score (0 to 1; column ``name``) of every whole text, and the text itself on request."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs = _pairs([[bytes.fromhex(b) for b in pair] for pair in model["books"]]) if "books" in model else None
-        if pairs:
+        pair = _pair([bytes.fromhex(b) for b in model["books"]]) if "books" in model else None
+        if pair:
             mean, spread, beta = (np.array(model[k]) for k in ("mean", "spread", "beta"))
         for batch in batches:
             at = batch.schema.get_field_index("text")
-            if pairs:
-                x = [_features(_plain(t.as_py()), pairs) for t in batch.column(at)]
+            if pair:
+                x = [_features(_plain(t.as_py()), pair) for t in batch.column(at)]
                 z = beta[0] + ((np.array(x).reshape(-1, len(mean)) - mean) / spread) @ beta[1:]
                 p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
             else:
